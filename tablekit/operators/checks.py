@@ -112,26 +112,21 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
-def _key(columns: Sequence[str]) -> str:
-    """A column, or a struct that is NULL as soon as one part is (a struct of NULLs is not NULL)."""
-    quoted = [_quoted(c) for c in columns]
-    if len(quoted) == 1:
-        return quoted[0]
-    return f"CASE WHEN {' AND '.join(f'{q} IS NOT NULL' for q in quoted)} THEN struct({', '.join(quoted)}) END"
-
-
 def _metric(check: Check) -> str:
     if check.type == "row_count":
         return "count(*)"
+    quoted = [_quoted(c) for c in check.columns]
     if check.type == "missing_count":
-        column = _quoted(check.columns[0])
         listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in check.missing_values)
-        also = f" OR cast({column} AS STRING) IN ({listed})" if listed else ""
-        return f"count_if({column} IS NULL{also})"
+        also = f" OR cast({quoted[0]} AS STRING) IN ({listed})" if listed else ""
+        return f"count_if({quoted[0]} IS NULL{also})"
     if check.type == "duplicate_count":
-        key = _key(check.columns)
-        distinct = f"approx_count_distinct({key})" if check.approx else f"count(DISTINCT {key})"
-        return f"greatest(count({key}) - {distinct}, 0)"
+        # count over several columns leaves out rows in which any of them is NULL.
+        parts = ", ".join(quoted)
+        if not check.approx:
+            return f"count({parts}) - count(DISTINCT {parts})"
+        known = " AND ".join(f"{q} IS NOT NULL" for q in quoted)
+        return f"greatest(count({parts}) - approx_count_distinct(CASE WHEN {known} THEN struct({parts}) END), 0)"
     return f"count_if(NOT coalesce(({check.expr}), false))"
 
 
@@ -210,10 +205,11 @@ def verify(
     entries += [_entry(c, F.lit(None), given, F.col("__rows")) for c in broken]
     parts = [base.select(F.inline(F.array(*entries)))] if entries else []
     for check in alone:
-        key = _escape(_key(check.columns))
+        parts_of_key = [_escape(_quoted(c)) for c in check.columns]
+        known = " AND ".join(f"{c} IS NOT NULL" for c in parts_of_key)
         text = (
             "SELECT coalesce(sum(n), 0) AS `__rows`, coalesce(sum(n), 0) - count(*) AS `__m` FROM "
-            f"(SELECT {key} AS k, count(*) AS n FROM {{rows}} GROUP BY ALL) WHERE k IS NOT NULL"
+            f"(SELECT count(*) AS n FROM {{rows}} WHERE {known} GROUP BY {', '.join(parts_of_key)})"
         )
         one = _select(df, text, given)
         parts.append(one.select(F.inline(F.array(_entry(check, F.col("__m"), given, F.col("__rows"))))))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablekit.plans.windows import BUCKET, null_safe_join
+from tablekit.plans.windows import AT, before, inside, tag
 
 
 def asof_join(
@@ -34,23 +34,16 @@ def asof_join(
     rights = right.select(
         *keys, on, payload.alias("__right"), order_tie.alias("__tie"), F.lit(0).alias("__side")
     ).where(F.col(on).isNotNull())
-    both = lefts.unionByName(rights, allowMissingColumns=True).withColumn(BUCKET, bucket)
+    both = tag(lefts.unionByName(rights, allowMissingColumns=True), keys, [bucket])
 
     # max_by skips rows whose ordering is NULL, so left rows only keep their bucket in the summary.
     at = F.when(F.col("__side") == 0, F.struct(on, "__tie"))
-    summary = both.groupBy(*keys, BUCKET).agg(F.max_by("__right", at).alias("__last"))
-    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        *keys, BUCKET, F.last("__last", ignorenulls=True).over(before).alias("__carried")
-    )
+    summary = both.groupBy(AT).agg(F.max_by("__right", at).alias("__last"))
+    carried = summary.select(AT, F.last("__last", ignorenulls=True).over(before(keys)).alias("__carried"))
 
-    inside = (
-        Window.partitionBy(*keys, BUCKET)
-        .orderBy(F.col(on), F.col("__side"), F.col("__tie"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = both.withColumn("__local", F.last("__right", ignorenulls=True).over(inside)).where("__side = 1")
-    joined = null_safe_join(local, carried, [*keys, BUCKET])
+    upto = inside(on, "__side", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = both.withColumn("__local", F.last("__right", ignorenulls=True).over(upto)).where("__side = 1")
+    joined = local.join(carried, AT)
     hit = F.coalesce("__local", "__carried")
     return joined.select(
         *keys, on, *[F.col("__left")[c].alias(c) for c in extra], *[hit[v].alias(v) for v in values]

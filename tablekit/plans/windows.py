@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-BUCKET = "__bucket"
+AT = "__at"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -29,20 +29,34 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"__r_{c}" for c in on])
 
 
-def _tag(df: DataFrame, buckets: Sequence[Column]) -> DataFrame:
-    return df.withColumn(BUCKET, F.struct(*[b.alias(f"b{i}") for i, b in enumerate(buckets)]))
+def tag(df: DataFrame, keys: Sequence[str], buckets: Sequence[Column]) -> DataFrame:
+    """Add the struct ``(keys, buckets)`` that windows, summaries and joins all partition by.
 
+    A struct is never NULL and equal structs may hold NULLs, so NULL keys need no care; and since
+    the window and the join ask for the same partitioning, rows are shuffled once.
+    """
+    parts = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]
+    return df.withColumn(AT, F.struct(*parts, *[b.alias(f"b{i}") for i, b in enumerate(buckets)]))
+
+
+def inside(*order: Column | str) -> WindowSpec:
+    """Window over the rows of one key and bucket."""
+    return Window.partitionBy(AT).orderBy(*order)
 
-def _inside(keys: Sequence[str], order: Sequence[Column]) -> WindowSpec:
-    return Window.partitionBy(*keys, BUCKET).orderBy(*order)
 
+def whole_key(keys: Sequence[str]) -> WindowSpec:
+    """Window over a key's bucket summaries."""
+    return Window.partitionBy(*[F.col(f"{AT}.k{i}") for i in range(len(keys))])
 
-def _across(keys: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(BUCKET)
 
+def across(keys: Sequence[str]) -> WindowSpec:
+    """The same in bucket order: within a key the struct sorts by its bucket fields."""
+    return whole_key(keys).orderBy(AT)
 
-def _before(keys: Sequence[str]) -> WindowSpec:
-    return _across(keys).rowsBetween(Window.unboundedPreceding, -1)
+
+def before(keys: Sequence[str]) -> WindowSpec:
+    """The buckets before the current one."""
+    return across(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def row_numbers(
@@ -57,20 +71,18 @@ def row_numbers(
 
     With empty ``keys`` only the bucket summary meets in one task, never the rows.
     """
-    tagged = _tag(df, buckets)
-    summary = tagged.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    tagged = tag(df, keys, buckets)
+    summary = tagged.groupBy(AT).agg(F.count(F.lit(1)).alias("__n"))
     summary = summary.select(
-        *keys,
-        BUCKET,
-        F.coalesce(F.sum("__n").over(_before(keys)), F.lit(0)).alias("__offset"),
-        F.sum("__n").over(Window.partitionBy(*keys)).alias("__size"),
+        AT,
+        F.coalesce(F.sum("__n").over(before(keys)), F.lit(0)).alias("__offset"),
+        F.sum("__n").over(whole_key(keys)).alias("__size"),
     )
-    numbered = tagged.withColumn("__rn", F.row_number().over(_inside(keys, order)))
-    joined = null_safe_join(numbered, summary, [*keys, BUCKET])
-    joined = joined.withColumn(name, F.col("__offset") + F.col("__rn"))
+    numbered = tagged.withColumn("__rn", F.row_number().over(inside(*order)))
+    joined = numbered.join(summary, AT).withColumn(name, F.col("__offset") + F.col("__rn"))
     if size:
         joined = joined.withColumn(size, F.col("__size"))
-    return joined.drop(BUCKET, "__rn", "__offset", "__size")
+    return joined.drop(AT, "__rn", "__offset", "__size")
 
 
 def tiles(row_number: Column, size: Column, n: int) -> Column:
@@ -91,23 +103,20 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: Sequenc
     Ranks depend only on how many rows hold each value, so rows are first counted per
     ``(key, value)`` with map-side partial sums: a value shared by a third of all rows is one row.
     """
-    counted = _tag(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), buckets)
-    summary = counted.groupBy(*keys, BUCKET).agg(
-        F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__values")
-    )
+    counted = tag(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), keys, buckets)
+    summary = counted.groupBy(AT).agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__values"))
     summary = summary.select(
-        *keys,
-        BUCKET,
-        F.coalesce(F.sum("__rows").over(_before(keys)), F.lit(0)).alias("__rows_before"),
-        F.coalesce(F.sum("__values").over(_before(keys)), F.lit(0)).alias("__values_before"),
-        F.sum("__rows").over(Window.partitionBy(*keys)).alias("__size"),
+        AT,
+        F.coalesce(F.sum("__rows").over(before(keys)), F.lit(0)).alias("__rows_before"),
+        F.coalesce(F.sum("__values").over(before(keys)), F.lit(0)).alias("__values_before"),
+        F.sum("__rows").over(whole_key(keys)).alias("__size"),
     )
-    inside = _inside(keys, [F.col(value).asc_nulls_first()])
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = inside(F.col(value).asc_nulls_first())
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = counted.withColumn("__upto", F.sum("__n").over(upto)).withColumn(
-        "__dense", F.row_number().over(inside)
+        "__dense", F.row_number().over(ordered)
     )
-    ranked = null_safe_join(local, summary, [*keys, BUCKET])
+    ranked = local.join(summary, AT)
     rank = F.col("__rows_before") + F.col("__upto") - F.col("__n") + 1
     ranked = ranked.select(
         *keys,
@@ -129,16 +138,15 @@ def running_sum(
     name: str,
 ) -> DataFrame:
     """Sum of ``value`` from the first row of the key to the current row."""
-    tagged = _tag(df.withColumn("__v", value), buckets)
-    summary = tagged.groupBy(*keys, BUCKET).agg(F.sum("__v").alias("__total"))
-    summary = summary.select(*keys, BUCKET, F.sum("__total").over(_before(keys)).alias("__offset"))
-    inside = _inside(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = tagged.withColumn("__local", F.sum("__v").over(inside))
-    joined = null_safe_join(local, summary, [*keys, BUCKET])
+    tagged = tag(df.withColumn("__v", value), keys, buckets)
+    summary = tagged.groupBy(AT).agg(F.sum("__v").alias("__total"))
+    summary = summary.select(AT, F.sum("__total").over(before(keys)).alias("__offset"))
+    upto = inside(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = tagged.withColumn("__local", F.sum("__v").over(upto)).join(summary, AT)
     total = F.when(F.col("__offset").isNull(), F.col("__local")).otherwise(
         F.col("__offset") + F.coalesce(F.col("__local"), F.lit(0))
     )
-    return joined.withColumn(name, total).drop(BUCKET, "__v", "__local", "__offset")
+    return joined.withColumn(name, total).drop(AT, "__v", "__local", "__offset")
 
 
 def neighbours(
@@ -153,27 +161,23 @@ def neighbours(
     ``order`` must be unique per key. Values are wrapped in a struct so that a NULL value is
     told apart from a missing neighbour.
     """
-    cols = [F.col(c) for c in order]
-    tagged = _tag(df, buckets).withColumn("__v", F.struct(F.col(value).alias("v")))
-    at = F.struct(*cols)
-    summary = tagged.groupBy(*keys, BUCKET).agg(
-        F.min_by("__v", at).alias("__first"), F.max_by("__v", at).alias("__last")
+    tagged = tag(df, keys, buckets).withColumn("__v", F.struct(F.col(value).alias("v")))
+    position = F.struct(*order)
+    summary = tagged.groupBy(AT).agg(
+        F.min_by("__v", position).alias("__first"), F.max_by("__v", position).alias("__last")
     )
-    across = _across(keys)
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = across(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     summary = summary.select(
-        *keys,
-        BUCKET,
-        F.lag("__last").over(across).alias("__prev"),
-        F.lead("__first").over(across).alias("__next"),
+        AT,
+        F.lag("__last").over(across(keys)).alias("__prev"),
+        F.lead("__first").over(across(keys)).alias("__next"),
         F.first("__first").over(whole).alias("__key_first"),
         F.last("__last").over(whole).alias("__key_last"),
     )
-    inside = _inside(keys, cols)
-    local = tagged.withColumn("__lag", F.lag("__v").over(inside)).withColumn(
-        "__lead", F.lead("__v").over(inside)
+    local = tagged.withColumns(
+        {"__lag": F.lag("__v").over(inside(*order)), "__lead": F.lead("__v").over(inside(*order))}
     )
-    joined = null_safe_join(local, summary, [*keys, BUCKET])
+    joined = local.join(summary, AT)
     return joined.select(
         *df.columns,
         F.coalesce("__lag", "__prev")["v"].alias("lag"),
@@ -191,19 +195,16 @@ def exact_quantiles(
     Rows become ``(key, value, count)``; the running count picks, for every probability, the two
     values around the target position. ``buckets`` are columns over ``value``.
     """
-    counted = _tag(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), buckets
-    )
-    summary = counted.groupBy(*keys, BUCKET).agg(F.sum("__n").alias("__rows"))
+    present = df.where(F.col(value).isNotNull())
+    counted = tag(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")), keys, buckets)
+    summary = counted.groupBy(AT).agg(F.sum("__n").alias("__rows"))
     summary = summary.select(
-        *keys,
-        BUCKET,
-        F.coalesce(F.sum("__rows").over(_before(keys)), F.lit(0)).alias("__rows_before"),
-        F.sum("__rows").over(Window.partitionBy(*keys)).alias("__size"),
+        AT,
+        F.coalesce(F.sum("__rows").over(before(keys)), F.lit(0)).alias("__rows_before"),
+        F.sum("__rows").over(whole_key(keys)).alias("__size"),
     )
-    inside = _inside(keys, [F.col(value)]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = counted.withColumn("__upto", F.sum("__n").over(inside))
-    placed = null_safe_join(local, summary, [*keys, BUCKET])
+    upto = inside(F.col(value)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("__upto", F.sum("__n").over(upto)).join(summary, AT)
     last = F.col("__rows_before") + F.col("__upto") - 1
     first = last - F.col("__n") + 1
     aggs = []
