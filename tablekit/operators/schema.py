@@ -31,16 +31,13 @@ def suggest_schema(df: DataFrame, column: str) -> DataFrame:
     number of records can be read.
     """
     parsed = df.select(F.try_parse_json(F.col(column)).alias("__v"))
-    fields = parsed.lateralJoin(_exploded(df.sparkSession))
+    # Objects explode into keyed entries; an array's entries have no key and are not fields.
+    fields = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("__v").outer())).where("key IS NOT NULL")
     return fields.groupBy(F.col("key").alias("column_name")).agg(
         F.schema_of_variant_agg("value").alias("data_type"), F.count(F.lit(1)).alias("sample_count")
     )
 
 
-def _exploded(spark):
-    return spark.tvf.variant_explode(F.col("__v").outer())
-
-
 def suggested_struct(df: DataFrame, column: str) -> StructType:
     """``suggest_schema`` as a ``StructType`` (one small row per field reaches the driver)."""
     rows = suggest_schema(df, column).orderBy("column_name").collect()
