@@ -170,8 +170,9 @@ def write_layout(
     if range_by:
         df = df.repartitionByRange(*range_by)
     elif bucket_by:
-        # One file per bucket: a task must own whole buckets.
-        df = df.repartition(bucket_by[0], *bucket_by[1])
+        # As many shuffle partitions as buckets: each holds one bucket, and only an oversized one
+        # is split into several files.
+        df = df.hint("rebalance", bucket_by[0], *bucket_by[1])
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by and not bucket_by:

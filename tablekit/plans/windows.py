@@ -234,5 +234,5 @@ def exact_quantiles(
 def exact_mode(df: DataFrame, keys: Sequence[str], value: str, name: str = "mode") -> DataFrame:
     """Most frequent value per key, the smallest one on ties; two partial aggregations, no buffer."""
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    best = F.max(F.struct(F.col("__n"), (-F.col(value)).alias("__neg"))).alias("__best")
-    return counted.groupBy(*keys).agg(best).select(*keys, (-F.col("__best.__neg")).alias(name))
+    rarest_last = F.struct((-F.col("__n")).alias("n"), F.col(value).alias("v"))
+    return counted.groupBy(*keys).agg(F.min_by(value, rarest_last).alias(name))

@@ -75,13 +75,15 @@ def daily(
     aggregates: dict[str, Column],
     lateness: str = "1 day",
 ) -> DataFrame:
-    """Aggregates per key and day; rows later than ``lateness`` behind the newest are dropped."""
+    """Aggregates per key and UTC day; rows later than ``lateness`` behind the newest are dropped."""
     if isinstance(stream.schema[ts].dataType, TimestampNTZType):
-        # A watermark needs an instant, not a wall-clock time.
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        # A watermark needs an instant: read the wall-clock time as UTC, whatever the session's zone.
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        stream = stream.withColumn(ts, F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
     grouped = stream.withWatermark(ts, lateness).groupBy(F.window(ts, "1 day"), *keys)
     result = grouped.agg(*[column.alias(name) for name, column in aggregates.items()])
-    return result.select(F.col("window.start").cast("date").alias("day"), *keys, *aggregates)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86_400).cast("int"))
+    return result.select(day.alias("day"), *keys, *aggregates)
 
 
 def snapshot(

@@ -500,7 +500,7 @@ def fn_date(spark: SparkSession, sf: str) -> DataFrame:
         F.last_day(day.cast("date")).alias("month_end"),
         F.date_format(day, "yyyy/MM/dd").alias("shown"),
         F.weekofyear(day).alias("week"),
-        F.unix_timestamp(day.cast("timestamp")).alias("seconds"),
+        F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), day).alias("seconds"),
         F.make_date(F.year(day), F.lit(1), F.lit(1)).alias("year_start"),
     )
 

@@ -111,7 +111,10 @@ def register_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @case("scan_rest", ORDERS_SQL)
 def scan_rest(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders served as pages of at most 1,000 records, read back one task per page."""
+    """Orders served as pages of at most 1,000 records, read back one task per page.
+
+    The pages are ``file:`` URLs, so the scratch folder must be mounted as a file system.
+    """
     path = scratch_path(spark, "pages")
     orders = read(spark, sf, "orders")
     paged = orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("page")).agg(

@@ -40,19 +40,16 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest event per user and type. Files arrive in time order, so later batches win."""
-    arrivals = scratch_path(spark, "arrivals")
+    """Latest event per user and type. The second half of the month arrives after the first was loaded."""
+    arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    table = scratch_table(spark, "latest")
+    path = scratch_path(spark, table)
     events = read(spark, sf, "events")
     half = F.lit("2024-01-16").cast("timestamp_ntz")
     for late in (False, True):
-        part = events.where((F.col("ts") >= half) == F.lit(late))
-        part.coalesce(1).write.mode("append").parquet(arrivals)
-    table = scratch_table(spark, "latest")
-    stream = ingest.file_stream(spark, arrivals, EVENTS, max_files=1)
-    ingest.upsert(
-        stream, table, ["user_id", "event_type"], scratch_path(spark, "checkpoint"), ["ts", "event_id"],
-        scratch_path(spark, table),
-    )
+        events.where((F.col("ts") >= half) == F.lit(late)).write.mode("append").parquet(arrivals)
+        stream = ingest.file_stream(spark, arrivals, EVENTS)
+        ingest.upsert(stream, table, ["user_id", "event_type"], checkpoint, ["ts", "event_id"], path)
     return spark.table(table).select("user_id", "event_type", "ts", "value")
 
 
