@@ -22,6 +22,9 @@ from pyspark.sql.types import (
 # (Spark expands each row once per distinct column), so each column gets its own pruned scan.
 MAX_FUSED_DISTINCT = 3
 
+# Size of the quantile sketch: about 0.3 % error in rank, some kilobytes per column and task.
+QUANTILE_K = 1000
+
 
 def _orderable(dtype: DataType) -> bool:
     return not isinstance(dtype, (ArrayType, MapType, StructType, BinaryType, VariantType))
@@ -66,7 +69,7 @@ def _base_profile(df: DataFrame, quantiles: Sequence[float], approx_distinct: bo
         if isinstance(f.dataType, NumericType):
             aggs.append(F.avg(c.cast("double")).alias(f"__avg{i}"))
             if quantiles:
-                aggs.append(F.percentile_approx(c.cast("double"), list(quantiles)).alias(f"__q{i}"))
+                aggs.append(F.kll_sketch_agg_double(c.cast("double"), QUANTILE_K).alias(f"__q{i}"))
     one = df.agg(*aggs)
     entries = []
     for i, f in enumerate(df.schema):
@@ -85,7 +88,9 @@ def _base_profile(df: DataFrame, quantiles: Sequence[float], approx_distinct: bo
             parts.append(F.col(f"__d{i}").alias("approx_distinct"))
         if quantiles:
             empty = F.lit(None).cast("array<double>")
-            parts.append((F.col(f"__q{i}") if numeric else empty).alias("quantiles"))
+            ranks = F.array(*[F.lit(float(q)) for q in quantiles])
+            found = F.when(F.col(f"__n{i}") > 0, F.kll_sketch_get_quantile_double(F.col(f"__q{i}"), ranks))
+            parts.append((found if numeric else empty).alias("quantiles"))
         entries.append(F.struct(*parts))
     return one.select(F.inline(F.array(*entries)))
 
