@@ -265,12 +265,12 @@ def load_file(
     return load(spark, scan(spark, file_path, fmt, schema), table, **options)
 
 
-def run_pipeline(
+def load_source(
     spark: SparkSession, source: Callable[[SparkSession], DataFrame], table: str, **options
 ) -> int:
     """``load`` from a source function; errors while planning the source are logged as well."""
     log = options.pop("log", None)
-    with logged(log, "pipeline", table, options.get("disposition", "append")) as result:
+    with logged(log, "source", table, options.get("disposition", "append")) as result:
         result["rows"] = load(spark, source(spark), table, **options)
     return result["rows"]
 

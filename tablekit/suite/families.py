@@ -394,7 +394,7 @@ def set_except(spark: SparkSession, sf: str) -> DataFrame:
 _SPINE = """
     WITH RECURSIVE span AS (
       SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last FROM {orders}),
-    spine(month, last) AS {limit} (
+    spine(month, last){limit} AS (
       SELECT first, last FROM span
       UNION ALL SELECT CAST({next} AS DATE), last FROM spine WHERE CAST({next} AS DATE) <= last),
     monthly AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS orders,
@@ -408,7 +408,8 @@ _SPINE = """
 @case("cte_recursive", _SPINE.format(orders="orders", next="month + INTERVAL 1 MONTH", limit=""))
 def cte_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """Urgent orders per month on a gapless month spine."""
-    text = _SPINE.replace("{next}", "add_months(month, 1)").replace("{limit}", "")
+    # The default of 100 levels would stop after eight years of months.
+    text = _SPINE.replace("{next}", "add_months(month, 1)").replace("{limit}", " MAX RECURSION LEVEL 10000")
     return sql(spark, sf, text)
 
 

@@ -171,23 +171,23 @@ def load_file(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @case(
-    "run_pipeline",
+    "load_source",
     """
     SELECT lang, count(*) AS docs, CAST(sum(n_chars) AS BIGINT) AS chars, 'SUCCESS' AS status,
            (SELECT count(*) FROM documents) AS rows_written
     FROM documents GROUP BY lang
     """,
 )
-def run_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def load_source(spark: SparkSession, sf: str) -> DataFrame:
     table = scratch_table(spark, "documents")
     path = scratch_path(spark, table)
     log = runs.RunLog(spark, f"{path}-runs")
-    loads.run_pipeline(
+    loads.load_source(
         spark,
         lambda s: files.scan_glob(s, sf, "documents.parquet").select("doc_id", "lang", "n_chars"),
         table, disposition="append", path=path, log=log,
     )
-    last = log.read().where(F.col("kind") == "pipeline")
+    last = log.read().where(F.col("kind") == "source")
     return (
         spark.table(table)
         .groupBy("lang")

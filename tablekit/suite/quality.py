@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -313,6 +311,3 @@ def table_diff(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.when(F.col("l_quantity") > 49, "X").otherwise(F.col("l_returnflag")).alias("l_returnflag")
     return diff.table_diff(expected, lines.select("l_orderkey", "l_linenumber", flag))
 
-
-def fixed_time() -> datetime:
-    return datetime(2024, 1, 31, tzinfo=timezone.utc)

@@ -141,8 +141,26 @@ def test_export_counts_and_round_trips(spark, tmp_path, fmt):
     assert rows(scan(spark, path, schema=df.schema)) == rows(df)
 
 
-def test_pipeline_logs_source_errors(spark, table, tmp_path):
+def test_source_errors_are_logged(spark, table, tmp_path):
     log = RunLog(spark, str(tmp_path / "log"))
     with pytest.raises(ZeroDivisionError):
-        loads.run_pipeline(spark, lambda s: 1 / 0, table, log=log)
+        loads.load_source(spark, lambda s: 1 / 0, table, log=log)
     assert [r.status for r in log.read().collect()] == ["FAILURE"]
+
+
+@pytest.mark.parametrize("layout", ["partition", "bucket"])
+def test_hot_folder_or_bucket_is_written_by_many_tasks(spark, table, tmp_path, layout):
+    from tablekit.operators.schema import write_layout
+
+    df = spark.range(120_000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 7).alias("k"), F.uuid().alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200000")
+    try:
+        if layout == "partition":
+            loads.create_table(df.repartition(16), table, str(tmp_path / table), ["k"])
+        else:
+            write_layout(df.repartition(16), table, str(tmp_path / table), bucket_by=(4, ["k"]), sort_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.table(table).groupBy("k").agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
+    files = {r.k: r.files for r in written.collect()}
+    assert files[0] >= 4 and spark.table(table).count() == 120_000
