@@ -157,16 +157,18 @@ def merge(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     path: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> int:
     """Upsert by key; returns the batch rows applied.
 
     On a table partitioned by key columns only the partitions the batch touches are rewritten.
     Otherwise Spark has no in-place update for parquet and the table gets a new version.
+    ``partition_by`` is for a table that does not exist yet.
     """
     if not keys:
         raise InvalidSpec("merge needs keys")
     if not spark.catalog.tableExists(table):
-        return create_table(latest_per_key(df, keys, order_by), table, path)
+        return create_table(latest_per_key(df, keys, order_by), table, path, partition_by)
     target = spark.table(table)
     target, batch = evolve(target, df)
     latest, seen = counted(latest_per_key(batch, keys, order_by))
@@ -252,7 +254,7 @@ def load(
         elif disposition == "replace":
             result["rows"] = replace(spark, df, table, path)
         elif disposition == "merge":
-            result["rows"] = merge(spark, df, table, keys, order_by, path)
+            result["rows"] = merge(spark, df, table, keys, order_by, path, partition_by)
         else:
             result["rows"] = overwrite_partitions(spark, df, table, partition_by, path)
     return result["rows"]

@@ -59,11 +59,16 @@ def upsert(
     order_by: Sequence[str] = (),
     path: str | None = None,
     available_now: bool = True,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Merge every micro-batch into a table. A batch replayed after a failure changes nothing."""
+    """Merge every micro-batch into a table. A batch replayed after a failure changes nothing.
+
+    Partition a large table by some of its key columns: a batch then rewrites only the partitions
+    it touches, while any other table is rewritten as a whole by every batch.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        loads.merge(batch.sparkSession, batch, table, keys, order_by, path)
+        loads.merge(batch.sparkSession, batch, table, keys, order_by, path, partition_by)
 
     return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 

@@ -164,3 +164,24 @@ def test_hot_folder_or_bucket_is_written_by_many_tasks(spark, table, tmp_path, l
     written = spark.table(table).groupBy("k").agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"))
     files = {r.k: r.files for r in written.collect()}
     assert files[0] >= 4 and spark.table(table).count() == 120_000
+
+
+@pytest.mark.parametrize("kind", ["filtered", "literal"])
+def test_loads_of_nothing(spark, table, tmp_path, kind):
+    base = spark.range(3).withColumn("p", F.lit(1))
+    none = base.where("false") if kind == "filtered" else spark.createDataFrame([], "id bigint, p int")
+    assert loads.create_table(none, table, str(tmp_path / table)) == 0
+    assert loads.replace(spark, none, table) == 0 and loads.append(spark, base, table) == 3
+    assert loads.merge(spark, none, table, ["id"]) == 0 and spark.table(table).count() == 3
+    parts = f"{table}_p"
+    loads.overwrite_partitions(spark, base, parts, ["p"], str(tmp_path / parts))
+    assert loads.overwrite_partitions(spark, none, parts) == 0
+    assert loads.merge(spark, none, parts, ["id", "p"]) == 0 and spark.table(parts).count() == 3
+
+
+def test_merge_creates_a_partitioned_table(spark, table, tmp_path):
+    for shift in (0, 1):
+        batch = spark.range(4).select("id", (F.col("id") % 2).alias("p"), F.lit(shift).alias("v"))
+        loads.load(spark, batch, table, "merge", keys=["id", "p"], partition_by=["p"], path=str(tmp_path / table))
+    assert loads.partition_columns(spark, table) == ["p"]
+    assert rows(spark.table(table), "id", "v") == [(i, 1) for i in range(4)]
