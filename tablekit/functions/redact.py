@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ def _sensitive_name(name: str, words: Sequence[str]) -> bool:
     return any(w.lower() in name.lower() for w in words)
 
 
+def _sensitive(name: Column, words: Sequence[str]) -> Column:
+    """The same for names that are data; words are plain text."""
+    tests = [F.contains(F.lower(name), F.lit(w.lower())) for w in words]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def _redacted(column: Column, dtype: DataType, words: Sequence[str]) -> Column:
     if isinstance(dtype, StructType):
         fields = [
@@ -33,11 +40,10 @@ def _redacted(column: Column, dtype: DataType, words: Sequence[str]) -> Column:
     if isinstance(dtype, ArrayType) and isinstance(dtype.elementType, (StructType, MapType, ArrayType)):
         return F.transform(column, lambda x: _redacted(x, dtype.elementType, words))
     if isinstance(dtype, MapType):
-        pattern = "|".join(w.lower() for w in words)
         return F.transform_values(
             column,
             lambda k, v: F.when(
-                F.lower(k.cast("string")).rlike(pattern), _masked(v, dtype.valueType)
+                _sensitive(k.cast("string"), words), _masked(v, dtype.valueType)
             ).otherwise(_redacted(v, dtype.valueType, words)),
         )
     return column
@@ -49,24 +55,28 @@ def _masked(column: Column, dtype: DataType) -> Column:
 
 
 def redact(df: DataFrame, columns: Sequence[str] | None = None, words: Sequence[str] = CONFIG_WORDS) -> DataFrame:
-    """Mask values under sensitive keys in the map, struct and array columns of ``df``.
+    """Mask values under sensitive keys: columns of such a name, and what map, struct and array columns hold.
 
-    Column types do not change: strings become the mask, other types NULL.
+    Column types do not change: strings become the mask, other types NULL. ``columns`` limits what is looked at.
     """
-    nested = (StructType, MapType, ArrayType)
-    chosen = [f for f in df.schema if isinstance(f.dataType, nested) and (columns is None or f.name in columns)]
-    return df.withColumns({f.name: _redacted(F.col(f"`{f.name}`"), f.dataType, words) for f in chosen})
+    chosen = [f for f in df.schema if columns is None or f.name in columns]
+    changed = {}
+    for f in chosen:
+        column = F.col(f"`{f.name}`")
+        if _sensitive_name(f.name, words):
+            changed[f.name] = _masked(column, f.dataType)
+        elif isinstance(f.dataType, (StructType, MapType, ArrayType)):
+            changed[f.name] = _redacted(column, f.dataType, words)
+    return df.withColumns(changed) if changed else df
 
 
 def redact_pairs(pairs: Column, words: Sequence[str] = ENVIRONMENT_WORDS) -> Column:
     """An array of ``KEY=value`` texts as a map with sensitive values masked; the last duplicate wins."""
-    pattern = "|".join(w.upper() for w in words)
-
     def key(pair: Column) -> Column:
         return F.substring_index(pair, "=", 1)
 
     def entry(pair: Column) -> Column:
-        value = F.when(F.upper(key(pair)).rlike(pattern), F.lit(MASK)).otherwise(
+        value = F.when(_sensitive(key(pair), words), F.lit(MASK)).otherwise(
             F.when(F.instr(pair, "=") > 0, F.substr(pair, F.instr(pair, "=") + 1)).otherwise(F.lit(""))
         )
         return F.struct(key(pair).alias("key"), value.alias("value"))

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,7 +43,8 @@ class Check:
     """One check. Without a threshold the metric must be 0.
 
     ``columns`` holds one column, or several for a duplicate check over a composite key. ``expr`` is
-    the predicate every row must satisfy in an audit; ``:name`` in it, or as threshold, is a variable.
+    the predicate every row must satisfy in an audit; ``:name`` in it, or as threshold, is a variable. In a
+    structure check it is the expected schema, and the metric the number of columns that differ.
     """
 
     name: str
@@ -67,21 +69,57 @@ class Check:
             raise InvalidSpec(f"{self.type} needs a column")
         if self.type == "audit" and not self.expr:
             raise InvalidSpec("audit needs expr")
+        if self.type == "structure" and not self.expr:
+            raise InvalidSpec("structure needs the expected schema as expr")
+
+
+CHECK_SPEC = (
+    "check_name string, check_type string, column_name string, expr string, operator string, threshold string, "
+    "upper string, missing_values array<string>, approx boolean"
+)
 
 
 def checks_from(specs: DataFrame) -> list[Check]:
-    """Checks stored as ``check_spec`` rows (a contract's worth: they become plan text)."""
-    return [
-        Check(
-            r.check_name,
-            r.check_type,
-            tuple(c.strip() for c in r.column_name.split(",")) if r.column_name else (),
-            r.expr,
-            r.operator or "must_be",
-            r.threshold or 0,
+    """Checks stored as ``check_spec`` rows (a contract's worth: they become plan text).
+
+    The first five columns of ``CHECK_SPEC`` and a threshold must be there; a threshold or upper bound is a number
+    or ``:name``. Several key columns are one text with commas.
+    """
+
+    def bound(value):
+        return value if value is None or (isinstance(value, str) and value.startswith(":")) else float(value)
+
+    out = []
+    for row in specs.collect():
+        r = row.asDict()
+        out.append(
+            Check(
+                r["check_name"],
+                r["check_type"],
+                tuple(c.strip() for c in r["column_name"].split(",")) if r["column_name"] else (),
+                r["expr"],
+                r["operator"] or "must_be",
+                bound(r["threshold"]) or 0,
+                bound(r.get("upper")),
+                tuple(r.get("missing_values") or ()),
+                bool(r.get("approx")),
+            )
         )
-        for r in specs.collect()
-    ]
+    return out
+
+
+def spec_frame(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+    """Checks as rows that ``checks_from`` reads back; save them like any table."""
+
+    def bound(value):
+        return None if value is None else str(value)
+
+    rows = [
+        (c.name, c.type, ", ".join(c.columns) or None, c.expr, c.operator, bound(c.threshold), bound(c.upper),
+         list(c.missing_values), c.approx)
+        for c in checks
+    ]
+    return spark.createDataFrame(rows, CHECK_SPEC)
 
 
 def parse_variables(variables: str | Mapping[str, Any] | None) -> dict[str, Any]:
@@ -187,19 +225,22 @@ def verify(
     All metrics come from one aggregate, so one scan of the needed columns. Only when there are more
     exact duplicate checks than ``MAX_FUSED_DISTINCT`` do these move to one pruned scan each, since
     Spark would otherwise repeat every row once per distinct key. Checks on columns the table does
-    not have fail with a NULL metric. ``expected`` adds a structure check first.
+    not have, and audits that do not resolve, fail with a NULL metric. ``expected`` adds a structure check first.
     """
     if not checks and expected is None:
         raise InvalidSpec("a contract needs at least one check")
     given = parse_variables(variables)
     known = set(df.columns)
-    usable = [c for c in checks if set(c.columns) <= known and c.type != "structure"]
-    broken = [c for c in checks if not set(c.columns) <= known]
+    usable = [c for c in checks if set(c.columns) <= known and _resolves(df, c, given)]
+    broken = [c for c in checks if c not in usable]
+    shapes = {c.name: _differences(df, c.expr) for c in usable if c.type == "structure"}
     exact = [c for c in usable if c.type == "duplicate_count" and not c.approx]
     alone = exact if len(exact) > MAX_FUSED_DISTINCT else []
     fused = [c for c in usable if c not in alone]
 
-    metrics = ", ".join(f"{_escape(_metric(c))} AS `__m{i}`" for i, c in enumerate(fused))
+    metrics = ", ".join(
+        f"{shapes[c.name] if c.type == 'structure' else _escape(_metric(c))} AS `__m{i}`" for i, c in enumerate(fused)
+    )
     base = _select(df, f"SELECT count(*) AS `__rows`{', ' if metrics else ''}{metrics} FROM {{rows}}", given)
     entries = [_entry(c, F.col(f"__m{i}"), given, F.col("__rows")) for i, c in enumerate(fused)]
     entries += [_entry(c, F.lit(None), given, F.col("__rows")) for c in broken]
@@ -208,8 +249,9 @@ def verify(
         parts_of_key = [_escape(_quoted(c)) for c in check.columns]
         known = " AND ".join(f"{c} IS NOT NULL" for c in parts_of_key)
         text = (
-            "SELECT coalesce(sum(n), 0) AS `__rows`, coalesce(sum(n), 0) - count(*) AS `__m` FROM "
-            f"(SELECT count(*) AS n FROM {{rows}} WHERE {known} GROUP BY {', '.join(parts_of_key)})"
+            "SELECT coalesce(sum(n), 0) AS `__rows`, "
+            "coalesce(sum(n) FILTER (WHERE `__known`), 0) - count_if(`__known`) AS `__m` FROM "
+            f"(SELECT count(*) AS n, {known} AS `__known` FROM {{rows}} GROUP BY {', '.join(parts_of_key)})"
         )
         one = _select(df, text, given)
         parts.append(one.select(F.inline(F.array(_entry(check, F.col("__m"), given, F.col("__rows"))))))
@@ -226,6 +268,24 @@ def verify(
     return results.withColumns(stamped).select(*names)
 
 
+def _resolves(df: DataFrame, check: Check, variables: Mapping[str, Any]) -> bool:
+    """Whether an audit's predicate is one over the table's columns; only the plan is made."""
+    if check.type != "audit":
+        return True
+    try:
+        _select(df, f"SELECT {_escape(_metric(check))} FROM {{rows}}", variables).schema
+    except (AnalysisException, ParseException):
+        return False
+    return True
+
+
+def _differences(df: DataFrame, expected: str) -> int:
+    """Columns that are missing, unexpected or of another type."""
+    wanted = {f.name: f.dataType for f in StructType.fromDDL(expected)}
+    found = {f.name: f.dataType for f in df.schema}
+    return sum(wanted.get(name) != found.get(name) for name in {**wanted, **found})
+
+
 def structure(df: DataFrame, expected: StructType | str) -> DataFrame:
     """Expected against actual columns: one row per column, metric 1 for missing, unexpected or wrong type."""
     wanted = expected if isinstance(expected, StructType) else StructType.fromDDL(expected)
@@ -278,6 +338,28 @@ def violations(
     return _select(df, text, parse_variables(variables))
 
 
+def audit(
+    df: DataFrame, audits: Mapping[str, str], variables: str | Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Rows that break at least one of several predicates, with ``broken``, the names of those; one scan."""
+    if not audits:
+        raise InvalidSpec("no audits given")
+    parts = ", ".join(
+        f"CASE WHEN NOT coalesce(({_escape(expr)}), false) THEN '{name}' END" for name, expr in audits.items()
+    )
+    text = f"SELECT *, array_compact(array({parts})) AS broken FROM {{rows}}"
+    return _select(df, text, parse_variables(variables)).where("size(broken) > 0")
+
+
+def audit_counts(
+    df: DataFrame, audits: Mapping[str, str], variables: str | Mapping[str, Any] | None = None
+) -> DataFrame:
+    """How many rows break each predicate: ``audit`` and ``violations``, zeros included; one scan."""
+    checks = [Check(name, "audit", expr=expr) for name, expr in audits.items()]
+    found = verify(df, checks, variables=variables)
+    return found.select(F.col("check_name").alias("audit"), F.col("metric").cast("bigint").alias("violations"))
+
+
 def save_results(results: DataFrame, path: str) -> None:
     """Append verification results to the history table."""
     results.write.mode("append").parquet(path)
@@ -288,9 +370,9 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def history(
-    results: DataFrame, contract_prefix: str | None = None, limit: int | None = 10, show_checks: bool = False
+    results: DataFrame, contract_prefix: str | None = None, limit: int | None = None, show_checks: bool = False
 ) -> DataFrame:
-    """The newest verifications, newest first: totals, or all their check rows."""
+    """The verifications, newest first (``limit`` of them if asked for): totals, or all their check rows."""
     if contract_prefix:
         results = results.where(F.col("contract").startswith(contract_prefix))
     runs = results.groupBy("run_id", "contract").agg(

@@ -49,13 +49,18 @@ def closure(
     direction: str = "both",
     max_depth: int | None = None,
 ) -> DataFrame:
-    """Everything upstream and/or downstream of some nodes (default: all), with the distance.
+    """Everything upstream and/or downstream of some nodes, with the distance.
+
+    Without ``nodes`` all nodes are starts, and then ``max_depth`` must bound the pairs, whose number would
+    otherwise be that of all ancestors of all nodes.
 
     Breadth-first by joins: each round extends only the pairs found in the last one and drops pairs
     already known, so cycles end. Rounds are written to the shared folder, which cuts the lineage.
     """
     if direction not in ("both", "upstream", "downstream"):
         raise InvalidSpec(f"direction {direction!r}")
+    if nodes is None and max_depth is None:
+        raise InvalidSpec("give nodes to start from, or max_depth")
     starts = None
     if isinstance(nodes, DataFrame):
         starts = nodes.toDF("start")

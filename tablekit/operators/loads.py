@@ -13,6 +13,9 @@ import uuid
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
+from datetime import datetime, timedelta, timezone
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +24,7 @@ from tablekit.errors import InvalidSpec, NoData, TableNotFound
 from tablekit.operators.runs import RunLog
 from tablekit.operators.schema import evolve
 from tablekit.plans.windows import null_safe_join
+from tablekit.session import materialize
 from tablekit.sources.files import FORMATS, format_of, scan
 
 DISPOSITIONS = ("append", "replace", "merge", "partitions")
@@ -99,15 +103,23 @@ def insert_records(spark: SparkSession, df: DataFrame, table: str, path: str | N
 
 
 def swap(spark: SparkSession, df: DataFrame, table: str) -> int:
-    """Write ``df`` as the table's next version and switch to it; ``df`` may read the table."""
+    """Write ``df`` as the table's next version and switch to it; ``df`` may read the table.
+
+    Partition, bucket and sort columns stay as they are, as far as ``df`` has them.
+    """
     info = describe(spark, table)
     location = _next_location(spark, table)
     partitions = list(info.get("partition_columns") or [])
-    if partitions:
+    buckets = [c for c in info.get("bucket_columns") or [] if c in df.columns]
+    sorting = [c for c in info.get("sort_columns") or [] if c in df.columns]
+    number = int(info.get("num_buckets") or 0)
+    if buckets:
+        df = df.hint("rebalance", number, *buckets)
+    elif partitions:
         df = df.hint("rebalance", *partitions)
     df, seen = counted(df)
     same = spark.table(table).schema.simpleString() == df.schema.simpleString()
-    if same and not partitions and not info.get("bucket_columns"):
+    if same and not partitions and not buckets:
         df.write.parquet(location)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
@@ -116,6 +128,10 @@ def swap(spark: SparkSession, df: DataFrame, table: str) -> int:
         writer = df.write.format("parquet").option("path", location)
         if partitions:
             writer = writer.partitionBy(*partitions)
+        if buckets:
+            writer = writer.bucketBy(number, *buckets)
+            if sorting:
+                writer = writer.sortBy(*sorting)
         writer.saveAsTable(staged)
         spark.sql(f"DROP TABLE {table}")
         spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
@@ -143,11 +159,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
 def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """``target`` with the batch's latest row per key put in place of rows with the same key.
 
-    Keys compare NULL-safe, so merging a batch twice equals merging it once.
+    Keys compare NULL-safe, so merging a batch twice equals merging it once. With ``order_by`` a row of the
+    target that is later than the batch's stays; on ties the batch wins.
     """
-    latest = latest_per_key(batch, keys, order_by)
-    kept = null_safe_join(target, batch.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(latest.select(*target.columns))
+    return _upserted(target, latest_per_key(batch, keys, order_by), keys, order_by)
+
+
+def _upserted(target: DataFrame, latest: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """``target`` and a batch with one row per key."""
+    latest = latest.select(*target.columns)
+    kept = null_safe_join(target, latest.select(*keys), keys, "left_anti")
+    if not order_by:
+        return kept.unionByName(latest)
+    held = null_safe_join(target, latest.select(*keys), keys, "left_semi").withColumn("__new", F.lit(0))
+    both = held.unionByName(latest.withColumn("__new", F.lit(1)))
+    return kept.unionByName(latest_per_key(both, keys, [*order_by, "__new"]).drop("__new"))
 
 
 def merge(
@@ -159,9 +185,10 @@ def merge(
     path: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> int:
-    """Upsert by key; returns the batch rows applied.
+    """Upsert by key; returns the batch's keys.
 
-    On a table partitioned by key columns only the partitions the batch touches are rewritten.
+    The batch is computed once. With ``order_by`` a stored row that is later than the batch's stays, so batches
+    may arrive in any order. On a table partitioned by key columns only the partitions the batch touches are rewritten.
     Otherwise Spark has no in-place update for parquet and the table gets a new version.
     ``partition_by`` is for a table that does not exist yet.
     """
@@ -171,17 +198,28 @@ def merge(
         return create_table(latest_per_key(df, keys, order_by), table, path, partition_by)
     target = spark.table(table)
     target, batch = evolve(target, df)
-    latest, seen = counted(latest_per_key(batch, keys, order_by))
+    latest = materialize(latest_per_key(batch, keys, order_by), "batch")
     partitions = partition_columns(spark, table)
     if partitions and set(partitions) <= set(keys) and target.columns == spark.table(table).columns:
-        touched = latest_per_key(batch, partitions).select(*partitions)
-        within = null_safe_join(target, touched, partitions, "left_semi")
-        kept = null_safe_join(within, batch.select(*keys).distinct(), keys, "left_anti")
-        overwrite_partitions(spark, kept.unionByName(latest), table)
+        touched = materialize(latest.select(*partitions).distinct(), "touched")
+        # One value for each partition that is rewritten, as literals, so that the scan leaves out all others.
+        values = touched.collect()
+        within = null_safe_join(target.where(_listed(partitions, values)), touched, partitions, "left_semi")
+        if values:
+            overwrite_partitions(spark, _upserted(within, latest, keys, order_by), table)
     else:
-        kept = null_safe_join(target, batch.select(*keys).distinct(), keys, "left_anti")
-        swap(spark, kept.unionByName(latest), table)
-    return seen.get["rows"]
+        swap(spark, _upserted(target, latest, keys, order_by), table)
+    return latest.count()
+
+
+def _listed(columns: Sequence[str], values: list):
+    """Each column holds one of its values, NULL included."""
+    tests = [F.lit(True)]
+    for column in columns:
+        own = {row[column] for row in values}
+        test = F.col(column).isin([v for v in own if v is not None]) if own - {None} else F.lit(False)
+        tests.append(test | F.col(column).isNull() if None in own else test)
+    return reduce(lambda a, b: a & b, tests)
 
 
 def overwrite_partitions(
@@ -201,14 +239,60 @@ def overwrite_partitions(
     if not partitions:
         raise InvalidSpec(f"{table} is not partitioned")
     df = evolve(spark.table(table).limit(0), df)[1].select(*spark.table(table).columns)
-    df, seen = counted(df.hint("rebalance", *partitions))
+    named = F.struct(*[F.col(c).cast("string").alias(c) for c in partitions])
+    written = Observation()
+    df = df.hint("rebalance", *partitions)
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"), F.to_json(F.collect_set(named)).alias("parts"))
     # Dynamic mode stages the new folders and moves them in when all tasks are done. It is asked
     # for per write, not per session, so the write goes to the table's folder.
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(info["location"])
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    # Only what was written is registered: folders of dropped partitions must not come back.
+    specs = json.loads(written.get["parts"] or "[]")
+    for at in range(0, len(specs), 200):
+        added = " ".join(_partition_spec(partitions, spec) for spec in specs[at : at + 200])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
-    return seen.get["rows"]
+    return written.get["rows"]
+
+
+def _partition_spec(columns: Sequence[str], spec: dict[str, str | None]) -> str:
+    def literal(value: str | None) -> str:
+        return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return "PARTITION (" + ", ".join(f"`{c}` = {literal(spec.get(c))}" for c in columns) + ")"
+
+
+def drop_partition(spark: SparkSession, table: str, spec: dict[str, str | None]) -> None:
+    """Drop one partition and delete its folder, also where the table's files are external."""
+    info = describe(spark, table)
+    columns = list(info.get("partition_columns") or [])
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folder = "/".join(names.getPartitionPathString(c, spec.get(c)) for c in columns)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_partition_spec(columns, spec)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{info['location'].rstrip('/')}/{folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark.catalog.refreshTable(table)
+
+
+def remove_versions(spark: SparkSession, table: str, keep: int = 1, older_than: timedelta = timedelta(days=1)) -> int:
+    """Delete old versions of a table that loads left behind; returns how many.
+
+    The current version stays, and so do the newest ``keep`` others and any that a reader may still use, that is
+    younger than ``older_than``.
+    """
+    parent, current = os.path.split(describe(spark, table)["location"].rstrip("/"))
+    if not current.startswith("version-"):
+        return 0
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(s.getModificationTime(), s.getPath()) for s in system.listStatus(path)]
+    old = sorted((t, p.getName(), p) for t, p in found if p.getName().startswith("version-") and p.getName() != current)
+    limit = (datetime.now(timezone.utc) - older_than).timestamp() * 1000
+    gone = [p for t, _, p in old[: len(old) - keep] if t <= limit]
+    for one in gone:
+        system.delete(one, True)
+    return len(gone)
 
 
 @contextmanager
@@ -245,8 +329,14 @@ def load(
     with logged(log, "load", table, disposition) as result:
         if evolve_schema and disposition != "replace" and spark.catalog.tableExists(table):
             target, batch = evolve(spark.table(table), df, widen)
-            if target.schema.simpleString() != spark.table(table).schema.simpleString():
-                swap(spark, target, table)
+            before = spark.table(table).schema
+            if target.schema.simpleString() != before.simpleString():
+                if all(target.schema[f.name].dataType == f.dataType for f in before):
+                    new = [f for f in target.schema if f.name not in before.names]
+                    added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                    spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+                else:
+                    swap(spark, target, table)
                 result["logs"].append("schema evolved to " + target.schema.simpleString())
             df = batch
         if disposition == "append":

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -18,7 +18,7 @@ from tablekit.operators.runs import RunLog
 
 INTERVAL_LOG = "model string, start_date date, end_date date, run_id string, loaded_at timestamp"
 
-# First day of a model that names none, and rows shown by a preview.
+# First day of a model that names none, and the usual ``limit`` of a preview.
 DEFAULT_START = "2024-01-01"
 PREVIEW_ROWS = 1000
 
@@ -53,9 +53,9 @@ class Model:
 
 
 def evaluate(
-    spark: SparkSession, model: Model, start: str | date, end: str | date, limit: int | None = PREVIEW_ROWS
+    spark: SparkSession, model: Model, start: str | date, end: str | date, limit: int | None = None
 ) -> DataFrame:
-    """The model's rows for an interval; ``limit`` cuts before anything is fetched."""
+    """The model's rows for an interval; a ``limit`` that is asked for cuts before anything is fetched."""
     first, last = _day(start), _day(end)
     if last < first:
         raise InvalidSpec(f"interval ends ({last}) before it starts ({first})")
@@ -96,19 +96,26 @@ def run(
     """Materialise an interval: its day partitions are replaced, all others stay. Returns rows written.
 
     Days of the interval that now have no rows lose their old partition, so running twice, or after
-    late deletes, leaves exactly what the model says.
+    late deletes, leaves exactly what the model says. Rows of the model outside the interval, or without
+    a day, are left out and their number is logged.
     """
     first, last = _day(start), _day(end)
     with loads.logged(log, "model", table, "partitions") as result:
-        rows = evaluate(spark, model, first, last, limit=None)
+        rows = evaluate(spark, model, first, last)
         stale = _partition_days(spark, table, model.day_column, first, last)
         day = F.col(model.day_column)
-        in_range = rows.where(day.between(F.lit(first), F.lit(last)))
-        result["rows"] = loads.overwrite_partitions(spark, in_range, table, [model.day_column], path)
-        if stale:
-            written = in_range.select(day.cast("date").alias("d")).distinct().collect()
-            for gone in sorted(stale - {r.d for r in written}):
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({model.day_column} = DATE '{gone}')")
+        inside = F.coalesce(day.between(F.lit(first), F.lit(last)), F.lit(False))
+        # Counted while the rows are written, so the model is computed once; at most one day per day asked for.
+        days = F.concat_ws(",", F.collect_set(F.when(inside, day.cast("date").cast("string"))))
+        seen = Observation()
+        watched = rows.observe(seen, F.count_if(~inside).alias("outside"), days.alias("days"))
+        result["rows"] = loads.overwrite_partitions(spark, watched.where(inside), table, [model.day_column], path)
+        found = seen.get
+        if found["outside"]:
+            result["logs"].append(f"{found['outside']} rows outside {first} to {last} left out")
+        written = {date.fromisoformat(d) for d in found["days"].split(",") if d}
+        for gone in sorted(stale - written):
+            loads.drop_partition(spark, table, {model.day_column: gone.isoformat()})
         if intervals:
             intervals.add(model.name, first, last, uuid.uuid4().hex)
     return result["rows"]

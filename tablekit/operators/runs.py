@@ -65,9 +65,9 @@ def latest_state(log: DataFrame) -> DataFrame:
 
 
 def recent_runs(
-    log: DataFrame, target: str | None = None, status: str | None = None, limit: int | None = 50
+    log: DataFrame, target: str | None = None, status: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """The newest runs, filtered first and cut afterwards; ``limit=None`` lists all."""
+    """The runs, newest first, filtered first and cut afterwards if a ``limit`` is asked for."""
     if target is not None:
         log = log.where(F.col("target") == target)
     if status is not None:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
     DataType,
+    DateType,
+    DecimalType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -16,12 +18,21 @@ from pyspark.sql.types import (
     ShortType,
     StringType,
     StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from tablekit.errors import InvalidSpec, SchemaConflict
 
-# Numeric types from narrow to wide, used when a load may widen.
-_WIDENING = (ByteType(), ShortType(), IntegerType(), LongType(), FloatType(), DoubleType())
+# Integer types from narrow to wide with their digits, used when a load may widen.
+_INTEGERS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
+_FLOATS = (FloatType(), DoubleType())
+# Fixed value: whole numbers up to this are exact as doubles.
+_EXACT = 1 << 53
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def suggest_schema(df: DataFrame, column: str) -> DataFrame:
@@ -90,7 +101,7 @@ def override_schema(df: DataFrame, overrides: dict[str, str | None]) -> DataFram
     """
     dropped = [c for c, t in overrides.items() if t is None]
     cast = {
-        c: (F.col(c).try_cast(t) if c in df.columns else F.lit(None).cast(t))
+        c: (F.col(_quoted(c)).try_cast(t) if c in df.columns else F.lit(None).cast(t))
         for c, t in overrides.items()
         if t is not None
     }
@@ -103,7 +114,7 @@ def lossy_casts(df: DataFrame, overrides: dict[str, str | None]) -> DataFrame:
     if not names:
         raise InvalidSpec("no existing column is cast")
     lost = [
-        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(overrides[c]).isNull()).alias(f"__{i}")
+        F.count_if(F.col(_quoted(c)).isNotNull() & F.col(_quoted(c)).try_cast(overrides[c]).isNull()).alias(f"__{i}")
         for i, c in enumerate(names)
     ]
     entries = [
@@ -114,11 +125,29 @@ def lossy_casts(df: DataFrame, overrides: dict[str, str | None]) -> DataFrame:
 
 
 def wider_type(a: DataType, b: DataType) -> DataType:
-    """The type both fit in; anything that is not a numeric pair widens to string."""
+    """The type both fit in: numbers stay numbers, dates widen to timestamps, all else widens to string.
+
+    An int with a float is a double; so is a bigint, and ``evolve`` raises for values that are not exact there.
+    """
     if a == b:
         return a
-    if a in _WIDENING and b in _WIDENING:
-        return _WIDENING[max(_WIDENING.index(a), _WIDENING.index(b))]
+    for x, y in ((a, b), (b, a)):
+        if x in _INTEGERS and y in _INTEGERS and _INTEGERS[x] < _INTEGERS[y]:
+            return y
+        if x in _FLOATS and y in _FLOATS:
+            return DoubleType()
+        if x in _INTEGERS and y in _FLOATS:
+            return y if _INTEGERS[x] <= 5 else DoubleType()
+        if isinstance(x, DecimalType):
+            if y in _FLOATS:
+                return DoubleType()
+            digits = _INTEGERS.get(y, y.precision - y.scale if isinstance(y, DecimalType) else None)
+            if digits is not None:
+                scale = max(x.scale, y.scale if isinstance(y, DecimalType) else 0)
+                whole = max(x.precision - x.scale, digits)
+                return DecimalType(whole + scale, scale) if whole + scale <= 38 else StringType()
+        if isinstance(x, DateType) and isinstance(y, (TimestampType, TimestampNTZType)):
+            return y
     return StringType()
 
 
@@ -137,10 +166,17 @@ def evolve(target: DataFrame, batch: DataFrame, widen: bool = False) -> tuple[Da
             types[f.name] = wider_type(types[f.name], f.dataType)
         types.setdefault(f.name, f.dataType)
 
+    def column(df: DataFrame, name: str, kind: DataType):
+        if name not in df.columns:
+            return F.lit(None).cast(kind)
+        value = F.col(_quoted(name))
+        if isinstance(df.schema[name].dataType, LongType) and isinstance(kind, DoubleType):
+            wide = F.raise_error(F.concat(F.lit(f"{name}: not exact as double: "), value.cast("string")))
+            return F.when(F.abs(value) > _EXACT, wide.cast("double")).otherwise(value.cast("double"))
+        return value.cast(kind)
+
     def shaped(df: DataFrame) -> DataFrame:
-        return df.select(
-            *[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in types.items()]
-        )
+        return df.select(*[column(df, n, t).alias(n) for n, t in types.items()])
 
     return shaped(target), shaped(batch)
 
@@ -151,6 +187,12 @@ def evolve_union(target: DataFrame, batch: DataFrame, widen: bool = False) -> Da
     return a.unionByName(b)
 
 
+def bucket_count(*frames: DataFrame, target: int = 128 << 20) -> int:
+    """Buckets of about ``target`` bytes for the largest of some tables, by the planner's sizes."""
+    size = max(int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) for f in frames)
+    return max(1, -(-size // target))
+
+
 def write_layout(
     df: DataFrame,
     table: str,
@@ -162,13 +204,15 @@ def write_layout(
 ) -> None:
     """Write the same rows as a table with another physical layout.
 
-    ``range_by`` clusters files by value ranges (tight min/max statistics), ``bucket_by`` lets later
+    ``range_by`` clusters files by value ranges (tight min/max statistics; a frequent value is spread over several
+    by a hash of the row), ``bucket_by`` lets later
     joins on the bucket columns skip their shuffle, ``partition_by`` makes one folder per value. Rows
     are rebalanced, not hash-partitioned, towards partition folders: a folder with a third of all
     rows is written by many tasks.
     """
     if range_by:
-        df = df.repartitionByRange(*range_by)
+        plain = [_quoted(f.name) for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+        df = df.repartitionByRange(*range_by, F.xxhash64(*plain))
     elif bucket_by:
         # As many shuffle partitions as buckets: each holds one bucket, and only an oversized one
         # is split into several files.

@@ -23,7 +23,7 @@ def asof_join(
     """For each left row the latest right row of the same key with ``right.on <= left.on``.
 
     ``keys`` and ``on`` have the same names on both sides; ``values`` come from the right side and
-    are NULL where nothing precedes. ``tie`` orders right rows with equal ``on``. Both sides are
+    are NULL where nothing precedes, and where a key is NULL. ``tie`` orders right rows with equal ``on``. Both sides are
     unioned and the last right row is carried forward inside ``(key, bucket)``; what earlier
     buckets carry comes from one summary row per bucket, so a hot key spreads over its buckets.
     """
@@ -34,6 +34,7 @@ def asof_join(
     rights = right.select(
         *keys, on, payload.alias("__right"), order_tie.alias("__tie"), F.lit(0).alias("__side")
     ).where(F.col(on).isNotNull())
+    rights = rights.dropna(subset=list(keys))
     both = tag(lefts.unionByName(rights, allowMissingColumns=True), keys, [bucket])
 
     # max_by skips rows whose ordering is NULL, so left rows only keep their bucket in the summary.
@@ -80,10 +81,10 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
     Spark plans the SQL form by broadcasting the right side whatever its size. Here two one-row
     facts about the right side decide the NULL cases and the rest is an ordinary anti join.
     """
-    facts = right.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(right_key).isNull()).alias("nulls")
-    )
-    rows, nulls = facts.select("rows").scalar(), facts.select("nulls").scalar()
+    rows, nulls = F.count(F.lit(1)).alias("rows"), F.count_if(F.col(right_key).isNull()).alias("nulls")
+    facts = right.agg(rows, nulls).select(F.struct("rows", "nulls")).scalar()
     keys = right.where(F.col(right_key).isNotNull()).select(F.col(right_key).alias("__k"))
     unmatched = left.join(keys, F.col(left_key) == F.col("__k"), "left_anti")
-    return unmatched.where((rows == 0) | ((nulls == 0) & F.col(left_key).isNotNull()))
+    unmatched = unmatched.withColumn("__facts", facts)
+    rows, nulls = F.col("__facts.rows"), F.col("__facts.nulls")
+    return unmatched.where((rows == 0) | ((nulls == 0) & F.col(left_key).isNotNull())).drop("__facts")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tablekit.errors import UnsupportedFormat
+from tablekit.errors import SchemaConflict, UnsupportedFormat
 
 # File suffix -> Spark reader name.
 FORMATS = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
@@ -37,13 +37,20 @@ def scan(
 ) -> DataFrame:
     """A file, folder or glob as a table. Give ``schema`` for csv/json: inference reads the data twice.
 
+    A CSV file's columns are matched to the schema by the names in its header; all files of a folder must have the
+    same header. Columns that the schema lacks are left out, ones that the file lacks are an error.
+
     ``multiline`` reads JSON files that hold one array (or CSV fields with line breaks); such a file
     cannot be split, so keep those files small.
     """
     first = path if isinstance(path, str) else path[0]
     name = format_of(first, fmt)
     reader = spark.read.format(name).options(**options)
+    wanted = None
     if schema is not None:
+        if name == "csv" and str(options.get("header", True)).lower() == "true":
+            wanted, schema = _by_header(spark, path, schema, multiline, options)
+            reader = reader.option("enforceSchema", False)
         reader = reader.schema(schema)
     if name == "csv":
         reader = reader.option("header", True)
@@ -51,7 +58,25 @@ def scan(
             reader = reader.option("inferSchema", True)
     if name in ("csv", "json") and multiline:
         reader = reader.option("multiLine", True)
-    return reader.load(path)
+    loaded = reader.load(path)
+    return loaded if wanted is None else loaded.select(*[f"`{c}`" for c in wanted])
+
+
+def _by_header(
+    spark: SparkSession, path: str | list[str], schema: StructType | str, multiline: bool, options: dict
+) -> tuple[list[str], StructType]:
+    """The schema's column names, and its fields in the order of the files' header (of which one line is read)."""
+    expected = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    header = spark.read.options(**options).option("header", True).option("multiLine", multiline).csv(path).columns
+    if not header:  # no file has any line
+        return expected.names, expected
+    corrupt = options.get("columnNameOfCorruptRecord", "_corrupt_record")  # filled by the reader, in no file
+    missing = [f.name for f in expected if f.name not in header and f.name != corrupt]
+    if missing:
+        raise SchemaConflict(f"no such columns in the csv header: {missing}")
+    types = {f.name: f for f in expected}
+    fields = [types.get(c) or StructField(c, StringType()) for c in header]
+    return expected.names, StructType(fields + [types[corrupt]] * (corrupt in types))
 
 
 def scan_glob(

@@ -22,13 +22,13 @@ def _get(url: str, headers: dict[str, str], timeout: float = 60.0) -> bytes:
         return reply.read()
 
 
-class Page(InputPartition):
-    """One request: an endpoint name and the URL of one of its pages."""
+class Pages(InputPartition):
+    """Consecutive pages of one endpoint, from ``first`` to before ``end``."""
 
-    def __init__(self, endpoint: str, page: int, url: str):
+    def __init__(self, endpoint: dict, first: int, end: int):
         self.endpoint = endpoint
-        self.page = page
-        self.url = url
+        self.first = first
+        self.end = end
 
 
 class PagedReader(DataSourceReader):
@@ -40,18 +40,20 @@ class PagedReader(DataSourceReader):
     def partitions(self):
         found = []
         for endpoint in self.endpoints:
-            for page in range(int(endpoint.get("pages", 1))):
-                path = endpoint["path"].replace("{page}", str(page)).lstrip("/")
-                found.append(Page(endpoint["name"], page, f"{self.base}/{path}"))
+            pages, step = int(endpoint.get("pages", 1)), int(endpoint.get("pages_per_task", 1))
+            for first in range(0, pages, step):
+                found.append(Pages(endpoint, first, min(first + step, pages)))
         return found
 
     def read(self, partition):
-        body = json.loads(_get(partition.url, self.headers))
-        if isinstance(body, dict):
-            lists = [v for v in body.values() if isinstance(v, list)]
-            body = lists[0] if len(lists) == 1 else [body]
-        for record in body:
-            yield partition.endpoint, partition.page, json.dumps(record, ensure_ascii=False)
+        endpoint = partition.endpoint
+        for page in range(partition.first, partition.end):
+            path = endpoint["path"].replace("{page}", str(page)).lstrip("/")
+            body = json.loads(_get(f"{self.base}/{path}", self.headers))
+            for name in (endpoint.get("records") or "").split("."):
+                body = body[name] if name else body
+            for record in body if isinstance(body, list) else [body]:
+                yield endpoint["name"], page, json.dumps(record, ensure_ascii=False)
 
 
 class PagedRecords(DataSource):
@@ -142,8 +144,9 @@ def scan_rest(
 ) -> DataFrame:
     """Records of REST endpoints.
 
-    ``endpoints`` holds ``{"name", "path", "pages"}``; ``{page}`` in the path is the page number.
-    A page is a JSON array, or an object with one array in it. With ``schema`` records are parsed.
+    ``endpoints`` holds ``{"name", "path", "pages", "pages_per_task", "records"}``; ``{page}`` in the path is the page
+    number. A page's records are what its field ``records`` (a dotted path; without it the page itself) holds: all of
+    an array, or one value. With ``schema`` records are parsed.
     """
     if not endpoints:
         raise InvalidSpec("no endpoints given")

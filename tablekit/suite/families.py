@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.plans import joins
+from tablekit.plans.windows import null_safe_join
 from tablekit.suite.registry import case, read, sql
 
 # ---------------------------------------------------------------- joins
@@ -269,13 +270,44 @@ def agg_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@case("agg_approx")
+@case(
+    "agg_approx",
+    """
+    SELECT event_type, true AS users_close, true AS events_close, true AS quantiles_close
+    FROM events GROUP BY event_type
+    """,
+)
 def agg_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """Sketches: bounded buffers whatever the group size. No exact counterpart to compare with."""
-    return read(spark, sf, "events").groupBy("event_type").agg(
+    """Sketches have bounded buffers whatever the group size; here each is held against the exact value.
+
+    Distinct counts within three standard errors, quantiles within 0.1 % of the ranks.
+    """
+    events = read(spark, sf, "events")
+    sketched = events.groupBy("event_type").agg(
         F.approx_count_distinct("user_id", 0.02).alias("users"),
         F.percentile_approx("value", [0.5, 0.95]).alias("quantiles"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("event_id")).alias("events_estimate"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("event_id", F.lit(12))).alias("events"),
+    )
+    users = events.where("user_id IS NOT NULL").select("event_type", "user_id").distinct()
+    ids = events.where("event_id IS NOT NULL").select("event_type", "event_id").distinct()
+    users = users.groupBy("event_type").agg(F.count(F.lit(1)).alias("exact_users"))
+    ids = ids.groupBy("event_type").agg(F.count(F.lit(1)).alias("exact_events"))
+    middle, high = F.col("quantiles")[0], F.col("quantiles")[1]
+    ranked = events.join(sketched.select("event_type", "quantiles"), "event_type").groupBy("event_type").agg(
+        F.count("value").alias("n"),
+        *[F.count_if(F.col("value") < q).alias(f"below{i}") for i, q in enumerate((middle, high))],
+        *[F.count_if(F.col("value") <= q).alias(f"upto{i}") for i, q in enumerate((middle, high))],
+    )
+    both = sketched.join(users, "event_type").join(ids, "event_type").join(ranked, "event_type")
+    ranks = F.lit(True)
+    for i, share in enumerate((0.5, 0.95)):
+        ranks = ranks & (F.col(f"below{i}") <= (share + 0.001) * F.col("n") + 1)
+        ranks = ranks & (F.col(f"upto{i}") >= (share - 0.001) * F.col("n") - 1)
+    return both.select(
+        "event_type",
+        (F.abs(F.col("users") - F.col("exact_users")) <= 0.06 * F.col("exact_users") + 1).alias("users_close"),
+        (F.abs(F.col("events") - F.col("exact_events")) <= 0.05 * F.col("exact_events") + 1).alias("events_close"),
+        ranks.alias("quantiles_close"),
     )
 
 
@@ -335,9 +367,19 @@ def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "orders").select("o_custkey", "o_orderpriority").distinct()
 
 
-@case("sample_rows")
+@case("sample_rows", "SELECT true AS count_close, true AS only_rows_of_the_table")
 def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "documents").sample(fraction=0.1, seed=7)
+    """A tenth of the lines: as many as chance allows (six standard deviations), and no row more often than it is."""
+    lines = read(spark, sf, "lineitem")
+    sample = lines.sample(fraction=0.1, seed=7)
+    counted = lines.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("held"))
+    taken = sample.groupBy(*lines.columns).agg(F.count(F.lit(1)).alias("taken"))
+    excess = null_safe_join(taken, counted, lines.columns, "left").where("held IS NULL OR taken > held")
+    sizes = lines.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", sample.agg(F.count(F.lit(1))).scalar().alias("k"), excess.agg(F.count(F.lit(1))).scalar().alias("bad")
+    )
+    near = F.abs(F.col("k") - 0.1 * F.col("n")) <= 6 * F.sqrt(0.09 * F.col("n")) + 1
+    return sizes.select(near.alias("count_close"), (F.col("bad") == 0).alias("only_rows_of_the_table"))
 
 
 @case(
@@ -357,6 +399,11 @@ def _per_copy(rows: DataFrame) -> DataFrame:
     return rows.groupBy("nation").agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _both_copies(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """How often each side holds a value; the ALL forms follow from these counts, without one row per copy."""
+    return null_safe_join(_per_copy(left), _per_copy(right).withColumnRenamed("copies", "others"), ["nation"], how)
+
+
 @case(
     "set_intersect",
     """
@@ -370,7 +417,8 @@ def set_intersect(spark: SparkSession, sf: str) -> DataFrame:
     indebted = read(spark, sf, "customer").where("c_acctbal < 0").selectExpr("c_nationkey AS nation")
     suppliers = read(spark, sf, "supplier").selectExpr("s_nationkey AS nation")
     once = _per_copy(indebted.intersect(suppliers)).select(F.lit("distinct").alias("kind"), "nation", "copies")
-    every = _per_copy(indebted.intersectAll(suppliers)).select(F.lit("all").alias("kind"), "nation", "copies")
+    fewer = F.least("copies", "others").alias("copies")
+    every = _both_copies(indebted, suppliers, "inner").select(F.lit("all").alias("kind"), "nation", fewer)
     return once.unionByName(every)
 
 
@@ -387,7 +435,8 @@ def set_except(spark: SparkSession, sf: str) -> DataFrame:
     customers = read(spark, sf, "customer").selectExpr("c_nationkey AS nation")
     rich = read(spark, sf, "supplier").where("s_acctbal > 7000").selectExpr("s_nationkey AS nation")
     once = _per_copy(customers.subtract(rich)).select(F.lit("distinct").alias("kind"), "nation", "copies")
-    every = _per_copy(customers.exceptAll(rich)).select(F.lit("all").alias("kind"), "nation", "copies")
+    rest = (F.col("copies") - F.coalesce("others", F.lit(0))).alias("copies")
+    every = _both_copies(customers, rich, "left").select(F.lit("all").alias("kind"), "nation", rest).where("copies > 0")
     return once.unionByName(every)
 
 
@@ -408,8 +457,10 @@ _SPINE = """
 @case("cte_recursive", _SPINE.format(orders="orders", next="month + INTERVAL 1 MONTH", limit=""))
 def cte_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """Urgent orders per month on a gapless month spine."""
-    # The default of 100 levels would stop after eight years of months.
-    text = _SPINE.replace("{next}", "add_months(month, 1)").replace("{limit}", " MAX RECURSION LEVEL 10000")
+    # As many levels as there are months in the data; the default of 100 would stop after eight years.
+    span = read(spark, sf, "orders").agg(F.months_between(F.max("o_orderdate"), F.min("o_orderdate")).alias("m")).first()
+    levels = int(span.m or 0) + 3
+    text = _SPINE.replace("{next}", "add_months(month, 1)").replace("{limit}", f" MAX RECURSION LEVEL {levels}")
     return sql(spark, sf, text)
 
 
@@ -420,13 +471,18 @@ def cte_recursive(spark: SparkSession, sf: str) -> DataFrame:
            round(sum(value) FILTER (WHERE event_type = 'error'), 2) AS error,
            round(sum(value) FILTER (WHERE event_type = 'purchase'), 2) AS purchase,
            round(sum(value) FILTER (WHERE event_type = 'signup'), 2) AS signup,
-           round(sum(value) FILTER (WHERE event_type = 'view'), 2) AS "view"
+           round(sum(value) FILTER (WHERE event_type = 'view'), 2) AS "view",
+           round(sum(value) FILTER (WHERE event_type IS NULL
+             OR event_type NOT IN ('click', 'error', 'purchase', 'signup', 'view')), 2) AS other
     FROM events GROUP BY user_id
     """,
 )
 def pivot(spark: SparkSession, sf: str) -> DataFrame:
     kinds = ["click", "error", "purchase", "signup", "view"]
-    wide = read(spark, sf, "events").groupBy("user_id").pivot("event_type", kinds).agg(F.sum("value"))
+    # Whatever is no column of its own is summed under "other".
+    kind = F.when(F.col("event_type").isin(kinds), F.col("event_type")).otherwise("other")
+    kinds.append("other")
+    wide = read(spark, sf, "events").withColumn("kind", kind).groupBy("user_id").pivot("kind", kinds).agg(F.sum("value"))
     return wide.select("user_id", *[F.round(k, 2).alias(k) for k in kinds])
 
 

@@ -11,16 +11,14 @@ from tablekit.sources import files, records
 from tablekit.suite.registry import case, read, table_path
 from tablekit.suite.scans import ORDERS, ORDERS_SQL, _orders
 
-LINES_SQL = "SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem WHERE l_tax > 0.04"
-
-
-def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = read(spark, sf, "lineitem").where("l_tax > 0.04")
-    return lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_returnflag")
+LINES_SQL = """
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+           l_returnflag, l_linestatus, l_shipdate FROM lineitem
+"""
 
 
 def _export(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
-    lines = _lines(spark, sf)
+    lines = read(spark, sf, "lineitem")
     path = scratch_path(spark, "export")
     loads.export(lines, path, fmt)
     return files.scan(spark, path, fmt, lines.schema)
@@ -55,8 +53,9 @@ def import_append(spark: SparkSession, sf: str) -> DataFrame:
     """Finished orders first, then a file with the others whose columns come in another order."""
     orders = _orders(read(spark, sf, "orders"))
     table, path = scratch_table(spark, "orders"), scratch_path(spark, "orders")
-    loads.create_table(orders.where("o_orderstatus = 'F'"), table, path)
-    rest = orders.where("o_orderstatus <> 'F'").select(*reversed(orders.columns))
+    finished = F.col("o_orderstatus").eqNullSafe("F")
+    loads.create_table(orders.where(finished), table, path)
+    rest = orders.where(~finished).select(*reversed(orders.columns))
     loads.export(rest, f"{path}-rest.csv")
     loads.append(spark, files.scan(spark, f"{path}-rest.csv", schema=rest.schema), table)
     return spark.table(table)
@@ -117,7 +116,7 @@ def load_replace(spark: SparkSession, sf: str) -> DataFrame:
 @case(
     "load_merge",
     """
-    SELECT o_orderkey, o_custkey, o_orderstatus,
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
            CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice * 2 END AS o_totalprice,
            CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 2 END AS seq
     FROM orders
@@ -127,10 +126,11 @@ def load_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Target: orders with status F or O. Batch: two versions of every O (changed) and P (new) order."""
     table = scratch_table(spark, "orders")
     path = scratch_path(spark, table)
-    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    loads.load(spark, orders.where("o_orderstatus <> 'P'").withColumn("seq", F.lit(0)), table, path=path)
+    orders = _orders(read(spark, sf, "orders"))
+    partial, finished = F.col("o_orderstatus").eqNullSafe("P"), F.col("o_orderstatus").eqNullSafe("F")
+    loads.load(spark, orders.where(~partial).withColumn("seq", F.lit(0)), table, path=path)
     versions = (
-        orders.where("o_orderstatus <> 'F'")
+        orders.where(~finished)
         .withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2))))
         .withColumn("o_totalprice", F.col("o_totalprice") * F.col("seq"))
     )
@@ -141,7 +141,7 @@ def load_merge(spark: SparkSession, sf: str) -> DataFrame:
 @case(
     "load_merge_partitioned",
     """
-    SELECT event_id, event_type, CAST(ts AS DATE) AS day,
+    SELECT event_id, event_type, user_id, props, CAST(ts AS DATE) AS day,
            CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND event_type = 'click'
                 THEN value + 1000 ELSE value END AS value
     FROM events
@@ -150,7 +150,7 @@ def load_merge(spark: SparkSession, sf: str) -> DataFrame:
 def load_merge_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     """The key holds the partition column, so only the three touched days are rewritten."""
     table = scratch_table(spark, "events")
-    events = read(spark, sf, "events").select("event_id", "event_type", "value", F.col("ts").cast("date").alias("day"))
+    events = read(spark, sf, "events").withColumn("day", F.col("ts").cast("date")).drop("ts")
     loads.overwrite_partitions(spark, events, table, ["day"], scratch_path(spark, table))
     changed = events.where("day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' AND event_type = 'click'")
     loads.load(
@@ -184,7 +184,7 @@ def load_source(spark: SparkSession, sf: str) -> DataFrame:
     log = runs.RunLog(spark, f"{path}-runs")
     loads.load_source(
         spark,
-        lambda s: files.scan_glob(s, sf, "documents.parquet").select("doc_id", "lang", "n_chars"),
+        lambda s: files.scan_glob(s, sf, "documents.parquet"),
         table, disposition="append", path=path, log=log,
     )
     last = log.read().where(F.col("kind") == "source")
@@ -198,6 +198,20 @@ def load_source(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@case("load_late", "SELECT o_orderkey, o_totalprice, 2 AS seq FROM orders WHERE o_orderkey % 3 <> 0 "
+      "UNION ALL SELECT o_orderkey, o_totalprice * 10, 3 FROM orders WHERE o_orderkey % 3 = 0")
+def load_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches in any order: of every order versions 2, then 1 (late) and for some 3 (newer)."""
+    table = scratch_table(spark, "orders")
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.lit(2).alias("seq"))
+    loads.load(spark, orders, table, path=scratch_path(spark, table))
+    late = orders.withColumn("o_totalprice", F.col("o_totalprice") * 5).withColumn("seq", F.lit(1))
+    newer = orders.where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 10)
+    for batch in (late, newer.withColumn("seq", F.lit(3))):
+        loads.load(spark, batch, table, "merge", keys=["o_orderkey"], order_by=["seq"])
+    return spark.table(table)
+
+
 @case(
     "partition_overwrite",
     """
@@ -239,6 +253,21 @@ def load_evolve(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@case(
+    "evolve_widths",
+    """
+    SELECT CAST(l_orderkey AS DOUBLE) AS amount, 'key' AS kind FROM lineitem
+    UNION ALL SELECT CAST(CAST(l_discount AS REAL) AS DOUBLE), 'share' FROM lineitem
+    """,
+)
+def evolve_widths(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole numbers and floats meet as doubles, which hold both."""
+    lines = read(spark, sf, "lineitem")
+    keys = lines.select(F.col("l_orderkey").alias("amount"), F.lit("key").alias("kind"))
+    shares = lines.select(F.col("l_discount").cast("float").alias("amount"), F.lit("share").alias("kind"))
+    return schema.evolve_union(keys, shares, widen=True)
+
+
 @case(
     "evolve_union",
     """

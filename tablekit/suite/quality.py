@@ -211,6 +211,82 @@ def check_structure(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(checks.structure(read(spark, sf, "customer"), expected))
 
 
+@case(
+    "check_structure_contract",
+    "SELECT 'shape' AS check_name, 'structure' AS check_type, CAST(NULL AS VARCHAR) AS column_name, "
+    "CAST(2 AS DOUBLE) AS metric, 'must_be' AS operator, CAST(0 AS DOUBLE) AS threshold, false AS passed "
+    "UNION ALL " + _row("known", "missing_count", "c_name", "count(*) - count(c_name)", "must_be", 0, "= 0", "customer")
+    + " UNION ALL SELECT 'no such column', 'audit', NULL, NULL, 'must_be', 0, false",
+)
+def check_structure_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """A structure check and an audit that does not resolve, beside a check of rows."""
+    wanted = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal decimal(12,2), c_phone string, c_mktsegment string"
+    contract = [
+        Check("shape", "structure", expr=wanted),
+        Check("known", "missing_count", ("c_name",)),
+        Check("no such column", "audit", expr="c_balance > 0"),
+    ]
+    return _shown(checks.verify(read(spark, sf, "customer"), contract))
+
+
+@case(
+    "contract_stored",
+    " UNION ALL ".join(
+        [
+            _row("volume", "row_count", None, "count(*)", "must_be_between", 100, "BETWEEN 100 AND 1000000", "events"),
+            _row("kind", "missing_count", "event_type",
+                 "count(*) FILTER (WHERE event_type IS NULL OR event_type IN ('view', 'error'))", "must_be_less_than",
+                 900000, "< 900000", "events"),
+            _row("user and time", "duplicate_count", "user_id, ts",
+                 "count(*) FILTER (WHERE user_id IS NOT NULL AND ts IS NOT NULL) - (SELECT count(*) FROM (SELECT DISTINCT "
+                 "user_id, ts FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL))", "must_be", 0, "= 0", "events"),
+        ]
+    ),
+)
+def contract_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract saved as a table, with a range, values that count as missing and a variable, and read back."""
+    contract = [
+        Check("volume", "row_count", operator="must_be_between", threshold=100, upper=":most"),
+        Check("kind", "missing_count", ("event_type",), missing_values=("view", "error"), operator="must_be_less_than",
+              threshold=":limit"),
+        Check("user and time", "duplicate_count", ("user_id", "ts")),
+    ]
+    path = scratch_path(spark, "contract")
+    checks.spec_frame(spark, contract).write.parquet(path)
+    stored = checks.checks_from(spark.read.schema(checks.CHECK_SPEC).parquet(path).orderBy("check_name"))
+    variables = {"most": 1_000_000, "limit": 900_000}
+    return _shown(checks.verify(read(spark, sf, "events"), stored, variables=variables))
+
+
+_AUDITS = {"cheap": "l_extendedprice < 50000", "small": "l_quantity < 40", "early": "l_shipdate < DATE '1998-06-01'"}
+
+
+@case(
+    "audit_many",
+    """
+    SELECT l_orderkey, l_partkey, l_linenumber, concat_ws(',', CASE WHEN NOT coalesce(l_extendedprice < 50000, false) THEN 'cheap' END,
+      CASE WHEN NOT coalesce(l_quantity < 40, false) THEN 'small' END,
+      CASE WHEN NOT coalesce(l_shipdate < DATE '1998-06-01', false) THEN 'early' END) AS broken
+    FROM lineitem WHERE NOT coalesce(l_extendedprice < 50000 AND l_quantity < 40 AND l_shipdate < DATE '1998-06-01', false)
+    """,
+)
+def audit_many(spark: SparkSession, sf: str) -> DataFrame:
+    found = checks.audit(read(spark, sf, "lineitem"), _AUDITS)
+    return found.select("l_orderkey", "l_partkey", "l_linenumber", F.concat_ws(",", "broken").alias("broken"))
+
+
+@case(
+    "audit_counts",
+    """
+    SELECT 'cheap' AS audit, count(*) FILTER (WHERE NOT coalesce(l_extendedprice < 50000, false)) AS violations FROM lineitem
+    UNION ALL SELECT 'small', count(*) FILTER (WHERE NOT coalesce(l_quantity < 40, false)) FROM lineitem
+    UNION ALL SELECT 'early', count(*) FILTER (WHERE NOT coalesce(l_shipdate < DATE '1998-06-01', false)) FROM lineitem
+    """,
+)
+def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.audit_counts(read(spark, sf, "lineitem"), _AUDITS)
+
+
 _HISTORY_SQL = """
     SELECT user_id || '-' || event_type AS run_id, event_type AS contract, max(ts) AS ts, bool_and(value < 200) AS passed,
            count(*) AS checks_total, count(*) FILTER (WHERE value < 200) AS checks_passed,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,15 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return files.scan(spark, path, "csv", ORDERS)
 
 
+@case("scan_csv_header", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+def scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
+    """The file has the columns in another order, and one more than the schema."""
+    customers = read(spark, sf, "customer")
+    path = scratch_path(spark, "customer") + ".csv"
+    loads.export(customers.select(*reversed(customers.columns)), path)
+    return files.scan(spark, path, schema="c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string")
+
+
 @case(
     "scan_parquet",
     "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem "
@@ -72,17 +83,17 @@ def scan_auto(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@case("scan_glob", "SELECT o_orderstatus, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")
+@case("scan_glob", "SELECT o_orderstatus, o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'")
 def scan_glob(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "orders")
     orders = read(spark, sf, "orders")
-    kept = orders.where("o_orderstatus <> 'F'")
-    kept.where("o_orderstatus = 'O'").write.parquet(f"{base}/open")
-    kept.where("o_orderstatus = 'P'").write.parquet(f"{base}/partial")
-    orders.where("o_orderstatus = 'F'").write.json(f"{base}/finished")
+    finished, opened = F.col("o_orderstatus").eqNullSafe("F"), F.col("o_orderstatus").eqNullSafe("O")
+    orders.where(opened).write.parquet(f"{base}/open")
+    orders.where(~finished & ~opened).write.parquet(f"{base}/partial")
+    orders.where(finished).write.json(f"{base}/finished")
     found = files.scan_glob(spark, base, "*.parquet", schema=orders.schema, recursive=True, source_column="file")
     folder = F.regexp_extract("file", "/(open|partial)/", 1)
-    return found.where((F.col("o_orderstatus") == "O") == (folder == "open")).select(
+    return found.where(opened == (folder == "open")).select(
         "o_orderstatus", "o_orderkey", "o_totalprice"
     )
 
@@ -241,8 +252,11 @@ _LINE_TYPES = {
     "l_suppkey": "bigint",
     "l_linenumber": "int",
     "l_quantity": "double",
+    "l_extendedprice": "double",
     "l_discount": "double",
+    "l_tax": "double",
     "l_returnflag": "string",
+    "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
 
@@ -265,15 +279,41 @@ _LINE_TYPES = {
     ),
 )
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    # The sketched columns (distinct counts, quantiles) have no exact counterpart to compare with.
+    # The sketched columns (distinct counts, quantiles) are compared in column_profile_approx.
     profile = stats.column_profile(read(spark, sf, "lineitem"), list(_LINE_TYPES))
     exact = ["column_name", "data_type", "row_count", "null_count", "null_fraction", "min_value", "max_value"]
     return profile.select(*exact, F.round("mean", 6).alias("mean"))
 
 
-@case("column_profile_approx")
+@case(
+    "column_profile_approx",
+    _union(
+        [
+            f"SELECT '{c}' AS column_name, true AS distinct_close, true AS quantiles_close"
+            for c in _LINE_TYPES
+        ]
+    ),
+)
 def column_profile_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.column_profile(read(spark, sf, "lineitem"))
+    """Whether each sketch is within its error: distinct counts by a sixth (three standard errors), quantiles by 1 %
+    of the ranks; columns that are no numbers have no quantiles."""
+    lines = read(spark, sf, "lineitem")
+    profile = stats.column_profile(lines)
+    numbers = [c for c, t in _LINE_TYPES.items() if t in ("bigint", "int", "double")]
+    found = {r.column_name: r.quantiles for r in profile.where("quantiles IS NOT NULL").collect()}
+    near = []
+    for c in numbers:
+        tests = [F.lit(True)]
+        for share, q in zip((0.25, 0.5, 0.75), found[c]):
+            known = F.count(c)
+            tests.append(F.count_if(F.col(c) < q) <= (share + 0.01) * known)
+            tests.append(F.count_if(F.col(c) <= q) >= (share - 0.01) * known)
+        near.append(F.struct(F.lit(c).alias("column_name"), reduce(lambda a, b: a & b, tests).alias("ok")).alias(c))
+    ranks = lines.agg(*near).select(F.inline(F.array(*numbers)))
+    exact = stats.exact_distinct(lines)
+    both = profile.join(exact, "column_name").join(ranks, "column_name", "left")
+    close = F.abs(F.col("approx_distinct") - F.col("distinct_count")) <= F.col("distinct_count") / 6 + 1
+    return both.select("column_name", close.alias("distinct_close"), F.coalesce("ok", F.lit(True)).alias("quantiles_close"))
 
 
 @case(
@@ -360,14 +400,15 @@ def schema_compare(spark: SparkSession, sf: str) -> DataFrame:
 def layout_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     """Both tables bucketed alike: the join below needs no shuffle of either."""
     orders, lines = scratch_table(spark, "orders"), scratch_table(spark, "lines")
+    left = read(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    right = read(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
+    buckets = schema.bucket_count(left, right)
     schema.write_layout(
-        read(spark, sf, "orders").select("o_orderkey", "o_orderpriority"),
-        orders, scratch_path(spark, "orders"), bucket_by=(8, ["o_orderkey"]), sort_by=["o_orderkey"],
-    )
+        left, orders, scratch_path(spark, "orders"), bucket_by=(buckets, ["o_orderkey"]), sort_by=["o_orderkey"]
+    )
     schema.write_layout(
-        read(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice"),
-        lines, scratch_path(spark, "lines"), bucket_by=(8, ["l_orderkey"]), sort_by=["l_orderkey"],
-    )
+        right, lines, scratch_path(spark, "lines"), bucket_by=(buckets, ["l_orderkey"]), sort_by=["l_orderkey"]
+    )
     joined = spark.table(orders).join(spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("price")

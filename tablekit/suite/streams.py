@@ -15,10 +15,12 @@ EVENTS = (
 )
 
 
-def _events(spark: SparkSession, sf: str, parts: int = 4) -> DataFrame:
-    """The events table as a stream of several files."""
+def _events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream of files: an eighth of a small table each, a million rows of a large one."""
     path = scratch_path(spark, "arrivals")
-    read(spark, sf, "events").repartition(parts, "event_id").write.parquet(path)
+    events = read(spark, sf, "events")
+    rows = min(max(1000, events.count() // 8), 1_000_000)
+    events.write.option("maxRecordsPerFile", rows).parquet(path)
     return ingest.file_stream(spark, path, EVENTS, max_files=2)
 
 
@@ -40,14 +42,14 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest event per user and type. The second half of the month arrives after the first was loaded."""
+    """Latest event per user and type. The second half of the month arrives before the first."""
     arrivals, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
     table = scratch_table(spark, "latest")
     path = scratch_path(spark, table)
     events = read(spark, sf, "events")
     half = F.lit("2024-01-16").cast("timestamp_ntz")
-    for late in (False, True):
-        events.where((F.col("ts") >= half) == F.lit(late)).write.mode("append").parquet(arrivals)
+    for second in (True, False):
+        events.where((F.col("ts") >= half).eqNullSafe(second) if second else ~(F.col("ts") >= half).eqNullSafe(True)).write.mode("append").parquet(arrivals)
         stream = ingest.file_stream(spark, arrivals, EVENTS)
         ingest.upsert(stream, table, ["user_id", "event_type"], checkpoint, ["ts", "event_id"], path)
     return spark.table(table).select("user_id", "event_type", "ts", "value")

@@ -153,3 +153,40 @@ def test_violations_inside_an_interval(spark):
     )
     got = checks.violations(df, "v < :top", "ts", "2024-01-02", "2024-01-04", {"top": 3})
     assert rows(got, "id") == [(2,), (3,)]
+
+
+def test_fused_and_separate_duplicates_agree_in_every_column(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, None)], "a int, b int")
+    wanted = [Check(f"{c}{i}", "duplicate_count", (c,)) for i, c in enumerate("abab")]
+    when = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    apart = checks.verify(df, wanted, run_id="r", ts=when)
+    together = [r for w in wanted for r in checks.verify(df, [w], run_id="r", ts=when).collect()]
+    assert sorted(map(str, apart.collect())) == sorted(map(str, together))
+    assert {r.metrics["rows"] for r in together} == {3.0}
+
+
+def test_structure_and_bad_audits_are_rows_of_their_contract(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    got = outcome(
+        checks.verify(
+            df,
+            [
+                Check("same", "structure", expr="a int, b string"),
+                Check("other", "structure", expr="a bigint, c string"),
+                Check("bad", "audit", expr="nothing > 1"),
+                Check("worse", "audit", expr="a >"),
+                Check("good", "audit", expr="a > 0"),
+            ],
+        )
+    )
+    assert got == {"same": (0, True), "other": (3, False), "bad": (None, False), "worse": (None, False), "good": (0, True)}
+    assert outcome(checks.verify(df, [Check("same", "structure", expr="a int, b string")])) == {"same": (0, True)}
+
+
+def test_contract_round_trip(spark):
+    wanted = [
+        Check("a", "row_count", operator="must_be_between", threshold=1, upper=":n"),
+        Check("b", "missing_count", ("v",), missing_values=("", "n/a")),
+        Check("c", "duplicate_count", ("k", "v"), approx=True),
+    ]
+    assert checks.checks_from(checks.spec_frame(spark, wanted).orderBy("check_name")) == wanted

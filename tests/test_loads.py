@@ -185,3 +185,62 @@ def test_merge_creates_a_partitioned_table(spark, table, tmp_path):
         loads.load(spark, batch, table, "merge", keys=["id", "p"], partition_by=["p"], path=str(tmp_path / table))
     assert loads.partition_columns(spark, table) == ["p"]
     assert rows(spark.table(table), "id", "v") == [(i, 1) for i in range(4)]
+
+
+def test_late_batches_do_not_win(spark, target):
+    late = spark.createDataFrame([(1, "old", 0), (2, "tie", 1), (5, "new", 0)], SCHEMA)
+    loads.merge(spark, late, target, ["id"], ["seq"])
+    assert rows(spark.table(target)) == [(None, "n", 1), (1, "a", 1), (2, "tie", 1), (5, "new", 0)]
+
+
+def test_a_bucketed_table_stays_bucketed(spark, table, tmp_path):
+    from tablekit.operators.schema import write_layout
+
+    write_layout(spark.range(50), table, str(tmp_path / table / "version-0"), bucket_by=(4, ["id"]), sort_by=["id"])
+    loads.replace(spark, spark.range(30), table)
+    loads.merge(spark, spark.range(20, 40), table, ["id"])
+    info = loads.describe(spark, table)
+    assert (info["bucket_columns"], int(info["num_buckets"]), info["sort_columns"]) == (["id"], 4, ["id"])
+    assert rows(spark.table(table)) == sorted(((i,) for i in range(40)), key=lambda r: str(r[0]))
+
+
+def test_merge_scans_touched_partitions_only(spark, table, tmp_path):
+    loads.overwrite_partitions(spark, spark.range(40).selectExpr("id", "id % 10 AS p"), table, ["p"], str(tmp_path / table))
+    kept = spark.table(table).where(loads._listed(["p"], spark.range(3).selectExpr("id AS p").collect()))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p#" in plan and kept.count() == 12
+    assert loads._listed(["p"], []) is not None
+    loads.merge(spark, spark.createDataFrame([(7, None), (8, None)], "id bigint, p bigint"), table, ["id", "p"])
+    loads.merge(spark, spark.createDataFrame([(7, None), (9, None)], "id bigint, p bigint"), table, ["id", "p"])
+    assert spark.table(table).where("p IS NULL").count() == 3 and spark.table(table).count() == 43
+
+
+def test_old_versions_are_removed(spark, target, tmp_path):
+    from datetime import timedelta
+
+    for n in range(3):
+        loads.replace(spark, spark.createDataFrame([(n, "x", n)], SCHEMA), target)
+    assert loads.remove_versions(spark, target) == 0
+    assert loads.remove_versions(spark, target, keep=1, older_than=timedelta(0)) == 2
+    assert rows(spark.table(target)) == [(2, "x", 2)]
+
+
+def test_new_columns_do_not_rewrite_the_table(spark, target):
+    before = spark.table(target).inputFiles()
+    loads.load(spark, spark.createDataFrame([(9, "i", 1, True)], SCHEMA + ", flag boolean"), target, evolve_schema=True)
+    assert set(before) <= set(spark.table(target).inputFiles())
+    assert rows(spark.table(target).where("flag")) == [(9, "i", 1, True)]
+
+
+def test_wide_types(spark):
+    from tablekit.operators.schema import evolve_union
+
+    whole = spark.createDataFrame([(123456789,)], "v bigint")
+    part = spark.createDataFrame([(0.5,)], "v float")
+    assert rows(evolve_union(whole, part, widen=True)) == [(0.5,), (123456789.0,)]
+    with pytest.raises(Exception, match="not exact"):
+        evolve_union(spark.createDataFrame([((1 << 53) + 1,)], "v bigint"), part, widen=True).collect()
+    money = spark.sql("SELECT CAST(1.25 AS DECIMAL(5,2)) AS v")
+    assert evolve_union(money, whole, widen=True).schema["v"].dataType.simpleString() == "decimal(21,2)"
+    days = spark.sql("SELECT DATE '2024-01-01' AS v")
+    assert evolve_union(days, spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 10:00:00' AS v"), widen=True).count() == 2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablekit.errors import InvalidSpec
 from tablekit.operators import edges, models
+from tablekit.operators.runs import RunLog
 from tests.conftest import rows
 
 D = date
@@ -48,6 +49,12 @@ def test_rerun_drops_days_that_became_empty(spark, model, table, tmp_path):
     thinner = models.Model("m", lambda s, a, b: model.query(s, a, b).where("day <> DATE '2024-01-03'"))
     models.run(spark, thinner, "2024-01-02", "2024-01-04", table, path)
     assert [r[0].day for r in rows(spark.table(table), "day")] == [1, 2, 4, 5]
+    log = RunLog(spark, str(tmp_path / "log"))
+    models.run(spark, thinner, "2024-01-07", "2024-01-07", table, path, log=log)
+    assert [r[0].day for r in rows(spark.table(table), "day")] == [1, 2, 4, 5, 7]
+    wild = models.Model("m", lambda s, a, b: model.query(s, None, None))
+    assert models.run(spark, wild, "2024-01-08", "2024-01-08", table, path, log=log) == 1
+    assert any("30 rows outside" in line for r in log.read().collect() for line in r.logs or ())
 
 
 def log_frame(spark, *intervals):
@@ -91,7 +98,9 @@ def edge_frame(spark, *pairs):
 def test_closure_of_a_chain(spark):
     n = 14
     chain = edge_frame(spark, *[(f"n{i:02}", f"n{i + 1:02}") for i in range(n - 1)])
-    down = edges.closure(chain, direction="downstream")
+    down = edges.closure(chain, direction="downstream", max_depth=n)
+    with pytest.raises(InvalidSpec):
+        edges.closure(chain)
     assert down.count() == n * (n - 1) // 2
     assert down.where("node = 'n00' AND related = 'n13'").first().depth == 13
     assert edges.closure(chain, direction="downstream", max_depth=2).agg(F.max("depth")).first()[0] == 2
@@ -102,7 +111,7 @@ def test_closure_of_cycles_diamonds_and_loops(spark):
     got = rows(edges.closure(graph, ["a"]), "related", "direction", "depth")
     assert got == [("b", "downstream", 1), ("b", "upstream", 2), ("c", "downstream", 2), ("c", "upstream", 1),
                    ("d", "downstream", 2)]
-    both = edges.closure(graph)
+    both = edges.closure(graph, max_depth=10)
     assert both.where("direction = 'upstream'").count() == both.where("direction = 'downstream'").count()
     assert edges.closure(graph, ["nobody"]).isEmpty()
     with pytest.raises(InvalidSpec):

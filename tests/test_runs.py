@@ -96,6 +96,13 @@ def test_redaction_leaves_no_sensitive_value(spark):
     assert tuple(second) == (None,) * 5
 
 
+def test_redaction_of_columns_and_odd_words(spark):
+    df = spark.createDataFrame([("p", ["s"], "x", {"a.b": "1", "axb": "2"})], "password string, secrets array<string>, v string, m map<string,string>")
+    out = redact.redact(df).first()
+    assert (out.password, out.secrets, out.v) == (redact.MASK, None, "x")
+    assert redact.redact(df, ["m"], ["a.b"]).first().m == {"a.b": redact.MASK, "axb": "2"}
+
+
 def test_redact_pairs(spark):
     df = spark.createDataFrame([(["A=1", "MY_TOKEN=t", "Q=a=b", "BARE", "A=2", "E="],), ([],), (None,)], "e array<string>")
     got = [r[0] for r in df.select(redact.redact_pairs(F.col("e"))).collect()]

@@ -68,12 +68,25 @@ def test_ragged_and_broken_records(spark):
 
 def test_rest_pages(spark, tmp_path):
     (tmp_path / "users-0.json").write_text(json.dumps([{"id": 1}, {"id": 2}]))
-    (tmp_path / "users-1.json").write_text(json.dumps({"items": [{"id": 3}], "next": None}))
-    (tmp_path / "one.json").write_text(json.dumps({"id": 9}))
-    endpoints = [{"name": "users", "path": "users-{page}.json", "pages": 2}, {"name": "one", "path": "/one.json"}]
+    (tmp_path / "users-1.json").write_text(json.dumps([{"id": 3}]))
+    (tmp_path / "one.json").write_text(json.dumps({"id": 9, "tags": ["a"]}))
+    (tmp_path / "deep.json").write_text(json.dumps({"data": {"items": [{"id": 4}], "other": []}, "next": None}))
+    endpoints = [
+        {"name": "users", "path": "users-{page}.json", "pages": 2}, {"name": "one", "path": "/one.json"},
+        {"name": "deep", "path": "deep.json", "records": "data.items"},
+    ]
     df = rest.scan_rest(spark, f"file://{tmp_path}", endpoints, schema="id int")
-    assert rows(df) == [("one", 0, 9), ("users", 0, 1), ("users", 0, 2), ("users", 1, 3)]
-    assert df.rdd.getNumPartitions() == 3
+    assert rows(df) == [("deep", 0, 4), ("one", 0, 9), ("users", 0, 1), ("users", 0, 2), ("users", 1, 3)]
+    assert df.rdd.getNumPartitions() == 4
+    endpoints[0]["pages_per_task"] = 2
+    assert rest.scan_rest(spark, f"file://{tmp_path}", endpoints).rdd.getNumPartitions() == 3
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("b,a,extra\n2,x,9\n")
+    assert rows(files.scan(spark, str(tmp_path / "t.csv"), schema="a string, b int")) == [("x", 2)]
+    with pytest.raises(SchemaConflict):
+        files.scan(spark, str(tmp_path / "t.csv"), schema="a string, c int")
     with pytest.raises(InvalidSpec):
         rest.scan_rest(spark, "file:///", [])
 

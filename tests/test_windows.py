@@ -106,7 +106,7 @@ def test_asof_against_brute_force(spark, skewed):
     rights = right.collect()
     want = []
     for r in left.collect():
-        before = [q for q in rights if q.k == r.k and q.ts <= r.ts]
+        before = [q for q in rights if r.k is not None and q.k == r.k and q.ts <= r.ts]
         best = max(before, key=lambda q: (q.ts, q.rid)) if before else None
         want.append((r.id, best.rid if best else None, best.v if best else None))
     assert rows(got, "id", "rid", "v") == rows(spark.createDataFrame(want, "id int, rid int, v double"))
