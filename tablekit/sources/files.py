@@ -76,7 +76,9 @@ def _by_header(
         raise SchemaConflict(f"no such columns in the csv header: {missing}")
     types = {f.name: f for f in expected}
     fields = [types.get(c) or StructField(c, StringType()) for c in header]
-    return expected.names, StructType(fields + [types[corrupt]] * (corrupt in types))
+    if corrupt in types:
+        fields.append(types[corrupt])
+    return expected.names, StructType(fields)
 
 
 def scan_glob(
