@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,9 +25,6 @@ CLASSES = 128
 #: Encoded words a worker remembers; the memory is emptied when full.
 REMEMBERED = 400_000
 
-_SPACES = re.compile(r"[ \n]+")
-
-
 class Encoder:
     """Ids of texts under a tokenizer that drops white space and lower-cases.
 
@@ -44,6 +41,7 @@ class Encoder:
         hidden = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in shown)}
         self.letters = {b: hidden.get(b, b) for b in range(256)}
         self.marks = tuple({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.plain = not any(mark.isalpha() for mark in self.marks)  # then no special token in letters alone
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
 
@@ -51,7 +49,7 @@ class Encoder:
         ids = self.words.get(word)
         if ids is None:
             shown = word.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.tokenize(shown)], "<u4").tobytes()
+            ids = struct.pack(f"<{len(found := self.tokenize(shown))}I", *[t.id for t in found])
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = ids
@@ -61,18 +59,20 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def stretch(self, text: str) -> bytes:
-        if not text or max(text) > "\xff" or any(mark in text for mark in self.marks):
+        if not text.isascii() and max(text) > "\xff":
             return self.whole(text)
         low = text.lower()
-        if low.isalpha():
+        if low.isalpha() and self.plain:
             return self.word(low)
+        if not text or any(mark in text for mark in self.marks):
+            return self.whole(text)
         if low[-1] in ".," and low[:-1].isalpha():
             return self.word(low[:-1]) + self.word(low[-1])
         return b"".join(map(self.word, self.split.findall(low)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
-        known, parts = self.stretches, _SPACES.split(text)
+        known, parts = self.stretches, text.replace("\n", " ").split(" ")
         ids = list(map(known.get, parts))
         if None in ids:
             if len(known) + len(parts) > REMEMBERED:
