@@ -189,7 +189,7 @@ def evolve_union(target: DataFrame, batch: DataFrame, widen: bool = False) -> Da
 
 def bucket_count(*frames: DataFrame, target: int = 128 << 20) -> int:
     """Buckets of about ``target`` bytes for the largest of some tables, by the planner's sizes."""
-    size = max(int(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) for f in frames)
+    size = max(int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames)
     return max(1, -(-size // target))
 
 
