@@ -138,14 +138,13 @@ def _compare(key: tuple, table: pa.Table, threshold: float) -> pa.Table:
         np.add.at(links, a, n[b])
         guest = home[b] != cell
         np.add.at(links, b[guest], n[a[guest]])
-        while len(a):  # least label of all that are linked
-            least = np.minimum(label[a], label[b])
-            before = label.copy()
-            np.minimum.at(label, a, least)
-            np.minimum.at(label, b, least)
-            label = label[label]
-            if (before == label).all():
+        while len(a):  # join the roots of all that are linked, also those of earlier rows
+            one, two = label[a], label[b]
+            if (one == two).all():
                 break
+            np.minimum.at(label, np.maximum(one, two), np.minimum(one, two))
+            while (label != label[label]).any():
+                label = label[label]
     moved = (links > 0) | (label != np.arange(len(keys)))
     rows = np.flatnonzero(moved)
     return pa.table(

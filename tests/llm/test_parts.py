@@ -13,6 +13,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from tablekit.llm import bpe, exact, langid, lines, packing, passages, quality, toxicity, vectors, words
+from tests.llm import data
 
 
 def odd_texts(seed=2, n=600):
@@ -189,6 +190,30 @@ def test_shards_undo_insertions():
     assert len(own.keys) == 0 and not own.filter.table.any()
 
 
+def test_components_of_chained_vectors_over_several_chunks():
+    """Links of 1,500 home vectors and 500 guests on a circle, compared 512 rows at a time, against brute force."""
+    rng = np.random.default_rng(8)
+    angles = rng.uniform(0, 2 * np.pi, 2000)
+    x = np.stack([np.cos(angles), np.sin(angles)], axis=1)
+    threshold = float(np.cos(0.004))
+    home = np.where(np.arange(2000) < 1500, 0, 1).astype(np.int32)
+    close = x @ x.T >= threshold
+    close[1500:, 1500:] = np.eye(500, dtype=bool)
+    want = data.components(2000, [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(close, 1)))])
+    rows = np.concatenate([np.arange(1500), rng.permutation(2000)])
+    names = [b"%016d" % k for k in range(2000)]
+    table = pa.table(
+        {"cell": pa.array([0] * 3500, pa.int32()), "side": pa.array([0] * 1500 + [1] * 2000, pa.int32()),
+         "home": pa.array(home[rows]), "key": pa.array([names[k] for k in rows], pa.binary()),
+         "n": pa.array([1] * 3500, pa.int64()), "x": pa.array([x[k].tobytes() for k in rows], pa.binary()),
+         "probes": pa.array([[0, 1]] * 3500, pa.list_(pa.int32()))}
+    )
+    made = vectors._compare((pa.scalar(0),), table, threshold)
+    links = [(int(a), int(b)) for a, b in zip(made["key"].to_pylist(), made["root"].to_pylist())]
+    assert data.components(2000, links) == want
+    assert 100 < len(set(want)) < 1500
+
+
 def test_spherical_kmeans_and_odd_vectors():
     rng = np.random.default_rng(11)
     truth = rng.normal(size=(5, 16))
