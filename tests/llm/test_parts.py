@@ -190,6 +190,7 @@ def test_shards_undo_insertions():
     assert len(own.keys) == 0 and not own.filter.table.any()
 
 
+
 def test_components_of_chained_vectors_over_several_chunks():
     """Links of 1,500 home vectors and 500 guests on a circle, compared 512 rows at a time, against brute force."""
     rng = np.random.default_rng(8)
