@@ -212,6 +212,41 @@ def test_passages_and_their_removal(spark):
         assert r.kept_text.split() == left and r.n_dropped == len(spans[r.doc_id])
 
 
+def passage_exists(one, two):
+    """Whether two texts whose words are all different share a stretch that begins and ends with equal shingles."""
+    first, second = ([tuple(t[i : i + 5]) for i in range(len(t) - 4)] for t in (one, two))
+    place = {s: i for i, s in enumerate(first)}
+    both = [(place[s], j) for j, s in enumerate(second) if s in place]
+    for u, (i, j) in enumerate(both):
+        for v, (k, m) in enumerate(both[u:]):
+            total = (k - i + 1) + (m - j + 1) - (v + 1)
+            if min(k - i, m - j) + 5 >= 50 and v + 1 >= 0.8 * total:
+                return True
+    return False
+
+
+def test_passages_with_edits_against_brute_force(spark):
+    """Pairs of texts with 1 to 4 edits of a passage of 50 to 110 words; no pair of enough similarity is missed."""
+    import random
+
+    rnd = random.Random(11)
+    fresh = (f"v{i}" for i in range(10**9))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    rows, want = [], set()
+    for d in range(400):
+        passage = some(50 + d % 60)
+        edited = list(passage)
+        for _ in range(1 + d % 4 if d % 3 else 1):
+            at = rnd.randrange(len(edited))
+            edited[at : at + 1] = rnd.choice([[], some(1), [edited[at], *some(1)]])
+        one, two = some(20) + passage + some(20), some(rnd.randrange(30)) + edited + some(9)
+        rows += [(2 * d, " ".join(one)), (2 * d + 1, " ".join(two))]
+        if passage_exists(one, two):
+            want.add((2 * d + 1, 2 * d))
+    found = passages.find(data.table(spark, rows)).collect()
+    assert len(want) > 200 and {(r.doc_id, r.match_id) for r in found} == want
+
+
 def test_passages_with_a_word_replaced(spark):
     """Passages of 50 words with one word replaced have a similarity of 0.804 and are all found."""
     fresh = (f"v{i}" for i in range(10**9))

@@ -190,6 +190,22 @@ def test_shards_undo_insertions():
     assert len(own.keys) == 0 and not own.filter.table.any()
 
 
+@pytest.mark.parametrize("kind", ["put in", "left out", "replaced", "said twice"])
+def test_alignment_follows_edits_at_every_place(kind):
+    """60 shared words with one edit; the only place given lies before or after it."""
+    rng = np.random.default_rng(5)
+    fold = lambda words: np.array([hash(tuple(words[i : i + 5].tolist())) for i in range(len(words) - 4)])
+    shared, around = rng.integers(1, 1 << 40, 60), rng.integers(1, 1 << 40, 20)
+    for at in range(5, 55):
+        middle = {"put in": [7, *shared[at : at + 1]], "left out": [], "replaced": [7], "said twice": [shared[at]] * 2}[kind]
+        edited = np.concatenate([shared[:at], np.array(middle, np.int64), shared[at + 1 :]])
+        one = fold(np.concatenate([around[:10], shared, around[10:]]))
+        two = fold(np.concatenate([around[15:], edited, around[:5]]))
+        for place in [(10, 5), (65, 5 + len(edited) - 5)]:
+            found = passages.align(one, two, [place])
+            assert [f[:4] for f in found] == [(5, len(edited), 10, 60)] and found[0][4] >= 0.8
+
+
 
 def test_components_of_chained_vectors_over_several_chunks():
     """Links of 1,500 home vectors and 500 guests on a circle, compared 512 rows at a time, against brute force."""
