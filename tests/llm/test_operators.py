@@ -261,6 +261,19 @@ def test_passages_with_a_word_replaced(spark):
     assert {(r.doc_id, r.match_id) for r in found} == {(2 * d + 1, 2 * d) for d in range(400)}
 
 
+def test_passages_whose_pieces_have_smaller_ids(spark):
+    """Pieces of under 50 words with the smallest ids hold every key; those that hold the whole still find it."""
+    fresh = (f"v{i}" for i in range(10**9))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    passage = some(64)
+    pieces = [some(50) + passage[i % 3 * 12 : i % 3 * 12 + 40] + some(50) for i in range(12)]
+    whole = [some(30) + passage + some(40) for _ in range(15)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(pieces + whole)]
+    found = passages.find(data.table(spark, rows)).collect()
+    assert {(r.doc_id, r.n_words) for r in found} == {(i, 64) for i in range(13, 27)}
+    assert all(12 <= r.match_id < r.doc_id for r in found)
+
+
 def test_classifiers_on_odd_tables(spark, docs, none):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
