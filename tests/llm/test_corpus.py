@@ -91,3 +91,15 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in near.collect()} == keep
     assert {r.doc_id for r in passed.collect()} == keep == {r.doc_id for r in packed.collect()}
     assert passed.where("length(text) < 0").count() == 0
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    """Repeated rows, an id with several texts and null ids."""
+    one, two, near = "a b c d e f g h i j", "k l m n o p q r s t", " ".join(f"n{i}" for i in range(60))
+    rows = [(1, one)] * 3 + [(2, two), (2, one), (None, one), (None, two), (None, "only here u v w x y z")]
+    rows += [(None, "and here u v w x z y"), (None, near), (7, near + " more"), (7, near), (8, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "src", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs.repartition(3), SF).collect()]
+    assert {t for _, t in left} >= {one, two, "only here u v w x y z", "and here u v w x z y", "", None}
+    assert sorted(i for i, _ in left if i is not None) == [1, 2, 7, 8]
+    assert len(left) == 7
