@@ -2,37 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, exact, langid, lines, ngram_join, packing, passages, quality, toxicity, vectors
+from tablekit.llm import (
+    audit, bpe, exact, langid, lines, merkle, ngram_join, packing, passages, pii, quality, toxicity, vectors,
+)
+from tablekit.llm.store import ship
 from tablekit.suite.registry import read
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package's source to the executors, once for each application."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="tablekit-"), "tablekit.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-    context.addPyFile(path)
-    _SHIPPED.add(context.applicationId)
-
-
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     """Documents linked by 3-word shingles at a Jaccard similarity of 0.9."""
     ship(spark)
@@ -94,11 +74,27 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents")).withColumn("sequence_id", F.col("sequence_id").cast("long"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters do in each of their 120 orders."""
+    return audit.audit(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+def op12_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.digests(read(spark, sf, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's proof in the manifest; documents whose id's crc32 is divisible by 7 come back altered."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return merkle.audit(read(spark, sf, "documents"), altered={"n_chars": F.col("n_chars") + 1}, where=code % 7 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_language_id, op3_vector_dedup, op4_byte_bpe, op5_toxicity, op6_exact_dedup, op7_passages,
-        op8_line_dedup, op9_quality, op10_packing,
+        op8_line_dedup, op9_quality, op10_packing, op11_filter_audit, op12_pii, op13_merkle,
     )
 }
 
@@ -125,4 +121,87 @@ ORACLES: dict[str, str] = {
           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_filter_audit": r"""
+        WITH copies AS (SELECT doc_id, lang, coalesce(text, '') AS text,
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS copy FROM documents),
+        split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM copies),
+        rows AS (
+          SELECT doc_id, coalesce(lang, '') AS part, [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+              100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+              regexp_matches(text, '[#$%&*|]'), copy] AS fails,
+            EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = split.doc_id AND quality = 1) AS good,
+            EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = split.doc_id AND toxic = 1) AS toxic FROM split),
+        counts AS (
+          SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+          FROM rows GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        orders AS (
+          SELECT a.c || b.c || d.c || e.c || f.c AS filter_order FROM letters a JOIN letters b ON b.c <> a.c
+            JOIN letters d ON d.c NOT IN (a.c, b.c) JOIN letters e ON e.c NOT IN (a.c, b.c, d.c)
+            JOIN letters f ON f.c NOT IN (a.c, b.c, d.c, e.c)),
+        steps AS (
+          SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS c, strpos('ABCDE', filter_order[step]) AS own,
+            list_transform(list_filter(string_split(filter_order[:step - 1], ''), lambda x: x <> ''), lambda x: strpos('ABCDE', x)) AS earlier
+          FROM orders CROSS JOIN (SELECT unnest(range(1, 6)) AS step)),
+        each AS (
+          SELECT part, filter_order, step, c, own, fails, n, good, toxic, fails[own] AS own_fails,
+            len(list_filter(earlier, lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) AS n_fails
+          FROM counts CROSS JOIN steps),
+        summed AS (
+          SELECT part, filter_order, step, c, CAST(coalesce(sum(n) FILTER (WHERE NOT own_fails AND NOT gone), 0) AS BIGINT) AS kept,
+            CAST(coalesce(sum(n) FILTER (WHERE own_fails AND NOT gone), 0) AS BIGINT) AS removed,
+            CAST(coalesce(sum(n) FILTER (WHERE own_fails AND gone), 0) AS BIGINT) AS redundant,
+            CAST(coalesce(sum(n) FILTER (WHERE own_fails AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+            CAST(coalesce(sum(good) FILTER (WHERE own_fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+            CAST(coalesce(sum(toxic) FILTER (WHERE own_fails AND NOT gone), 0) AS BIGINT) AS toxic_lost FROM each GROUP BY ALL)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+          CAST(sum(removed) OVER (PARTITION BY part, c) AS BIGINT) AS shapley FROM summed
+    """,
+    "op13_merkle": """
+        WITH RECURSIVE given AS (
+          SELECT doc_id, lang, n_chars, text, source, list_reduce(
+            list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+              lambda c: [ord(c)::BIGINT] || list_transform(range(8), lambda i: (-1)::BIGINT)))),
+            lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS code
+          FROM documents),
+        fields AS (
+          SELECT doc_id, lang, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+              || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+            coalesce(strlen(text) || ':' || text, '-') AS tail, n_chars,
+            n_chars + CASE WHEN xor(code, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS changed FROM given),
+        leaves AS (
+          SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+            sha256(head || coalesce(strlen(CAST(changed AS VARCHAR)) || ':' || changed, '-') || tail) AS other FROM fields),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves),
+        nodes AS (
+          SELECT lang, 0 AS level, idx, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM placed
+          UNION ALL
+          SELECT lang, level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 1) // 2
+          FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 2),
+        tops AS (
+          SELECT 0 AS level, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, digest, count(*) OVER () AS n FROM nodes WHERE n = 1
+          UNION ALL
+          SELECT level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (any_value(n) + 1) // 2
+          FROM tops WHERE n > 1 GROUP BY level, idx // 2),
+        every AS (
+          SELECT coalesce('=' || lang, '') AS part, false AS upper, level, idx, digest, n FROM nodes
+          UNION ALL SELECT '', true, level, idx, digest, n FROM tops),
+        parts AS (
+          SELECT part, digest AS subroot, row_number() OVER (ORDER BY part) - 1 AS place, count(*) OVER () AS n
+          FROM every WHERE NOT upper AND n = 1),
+        climb AS (
+          SELECT doc_id, leaf, other, coalesce('=' || lang, '') AS part, false AS upper, 0 AS level, idx AS at, '' AS proof,
+            other AS folded, count(*) OVER (PARTITION BY lang) AS n FROM placed
+          UNION ALL
+          SELECT c.doc_id, c.leaf, c.other, c.part, c.upper OR c.n = 1, CASE WHEN c.n = 1 THEN 0 ELSE c.level + 1 END,
+            CASE WHEN c.n = 1 THEN p.place ELSE c.at // 2 END, CASE WHEN c.n = 1 THEN proof ELSE proof || coalesce(s.digest, '') END,
+            CASE WHEN c.n = 1 THEN folded WHEN c.at % 2 = 1 THEN sha256(s.digest || folded) ELSE sha256(folded || coalesce(s.digest, '')) END,
+            CASE WHEN c.n = 1 THEN p.n ELSE (c.n + 1) // 2 END
+          FROM climb c JOIN parts p ON p.part = c.part
+            LEFT JOIN every s ON s.upper = c.upper AND s.level = c.level AND s.idx = xor(c.at, 1) AND (c.upper OR s.part = c.part)
+          WHERE c.n > 1 OR NOT c.upper)
+        SELECT doc_id, leaf, subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+        FROM climb c JOIN parts p ON p.part = c.part CROSS JOIN (SELECT digest FROM tops WHERE n = 1) r
+        WHERE c.upper AND c.n = 1
+    """,
 }
