@@ -251,7 +251,9 @@ def build(
         F.when(name.isNull(), "").otherwise(F.concat(F.lit("="), name)).alias("part"),
         F.col(f"`{id_col}`").cast("long").alias("id"), leaf(list(plain.values())).alias("digest"), other.alias("other"),
     )
+    leaves = shelf.put(leaves, "leaves")  # dealing by ranges reads its input twice: these rows, not the texts
     layers = _grow(shelf, _place(shelf, leaves, ["id", "digest", "other"], "leaf"), "leaf", stride)
+    shelf.drop("leaves")
     heights = layers[0].where("idx = 0").select("part", "height")
     roots = _finished(layers, stride).withColumnRenamed("part", "name")
     upper = roots.select(F.lit("").alias("part"), "name", "digest")
