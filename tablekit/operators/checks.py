@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from tablekit.errors import InvalidSpec, InvalidVariables
 from tablekit.operators.schema import schema_frame
 from tablekit.operators.stats import MAX_FUSED_DISTINCT, exact_distinct
+from tablekit.session import materialize
 
 CHECK_RESULT = (
     "run_id string, contract string, dataset string, check_name string, check_type string, "
@@ -75,7 +76,7 @@ class Check:
 
 CHECK_SPEC = (
     "check_name string, check_type string, column_name string, expr string, operator string, threshold string, "
-    "upper string, missing_values array<string>, approx boolean"
+    "upper string, missing_values array<string>, approx boolean, columns array<string>"
 )
 
 
@@ -83,7 +84,7 @@ def checks_from(specs: DataFrame) -> list[Check]:
     """Checks stored as ``check_spec`` rows (a contract's worth: they become plan text).
 
     The first five columns of ``CHECK_SPEC`` and a threshold must be there; a threshold or upper bound is a number
-    or ``:name``. Several key columns are one text with commas.
+    or ``:name``. ``columns`` holds the key columns; without it they are the parts of ``column_name`` between commas.
     """
 
     def bound(value):
@@ -92,11 +93,13 @@ def checks_from(specs: DataFrame) -> list[Check]:
     out = []
     for row in specs.collect():
         r = row.asDict()
+        listed = r["column_name"].split(",") if r["column_name"] else ()
+        columns = r.get("columns") if r.get("columns") is not None else [c.strip() for c in listed]
         out.append(
             Check(
                 r["check_name"],
                 r["check_type"],
-                tuple(c.strip() for c in r["column_name"].split(",")) if r["column_name"] else (),
+                tuple(columns),
                 r["expr"],
                 r["operator"] or "must_be",
                 bound(r["threshold"]) or 0,
@@ -116,7 +119,7 @@ def spec_frame(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
 
     rows = [
         (c.name, c.type, ", ".join(c.columns) or None, c.expr, c.operator, bound(c.threshold), bound(c.upper),
-         list(c.missing_values), c.approx)
+         list(c.missing_values), c.approx, list(c.columns))
         for c in checks
     ]
     return spark.createDataFrame(rows, CHECK_SPEC)
@@ -150,12 +153,16 @@ def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _metric(check: Check) -> str:
     if check.type == "row_count":
         return "count(*)"
     quoted = [_quoted(c) for c in check.columns]
     if check.type == "missing_count":
-        listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in check.missing_values)
+        listed = ", ".join(_literal(v) for v in check.missing_values)
         also = f" OR cast({quoted[0]} AS STRING) IN ({listed})" if listed else ""
         return f"count_if({quoted[0]} IS NULL{also})"
     if check.type == "duplicate_count":
@@ -226,13 +233,49 @@ def verify(
     exact duplicate checks than ``MAX_FUSED_DISTINCT`` do these move to one pruned scan each, since
     Spark would otherwise repeat every row once per distinct key. Checks on columns the table does
     not have, and audits that do not resolve, fail with a NULL metric. ``expected`` adds a structure check first.
+
+    An audit may also raise on some row when it runs. So a contract with audits is run at once and its rows are
+    written to the shared folder; if that fails, each audit runs alone, and those that raise fail with a NULL metric.
     """
     if not checks and expected is None:
         raise InvalidSpec("a contract needs at least one check")
     given = parse_variables(variables)
+    stamp = {
+        "run_id": F.lit(run_id or uuid.uuid4().hex),
+        "contract": F.lit(contract),
+        "dataset": F.lit(dataset),
+        "ts": F.lit(ts or datetime.now(timezone.utc)).cast("timestamp"),
+    }
+    names = StructType.fromDDL(CHECK_RESULT).names
+
+    def stamped(results: DataFrame) -> DataFrame:
+        return results.withColumns(stamp).select(*names)
+
+    audits = [c for c in checks if c.type == "audit"]
+    whole = stamped(_results(df, checks, given, expected))
+    if not audits:
+        return whole
+    try:
+        return materialize(whole, "checks")
+    except PySparkException:
+        pass  # the audit that raised is found below; any other failure is raised again there
+    others = [c for c in checks if c.type != "audit"]
+    parts = [materialize(stamped(_results(df, others, given, expected)), "checks")] if others or expected else []
+    for check in audits:
+        try:
+            parts.append(materialize(stamped(_results(df, [check], given, None)), "checks"))
+        except PySparkException:
+            parts.append(materialize(stamped(_results(df, [], given, None, [check])), "checks"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _results(
+    df: DataFrame, checks: Sequence[Check], given: Mapping[str, Any], expected: StructType | None, failed: Sequence[Check] = ()
+) -> DataFrame:
+    """One row per check, ``failed`` ones without a metric."""
     known = set(df.columns)
     usable = [c for c in checks if set(c.columns) <= known and _resolves(df, c, given)]
-    broken = [c for c in checks if c not in usable]
+    broken = [*(c for c in checks if c not in usable), *failed]
     shapes = {c.name: _differences(df, c.expr) for c in usable if c.type == "structure"}
     exact = [c for c in usable if c.type == "duplicate_count" and not c.approx]
     alone = exact if len(exact) > MAX_FUSED_DISTINCT else []
@@ -257,15 +300,7 @@ def verify(
         parts.append(one.select(F.inline(F.array(_entry(check, F.col("__m"), given, F.col("__rows"))))))
     if expected is not None:
         parts.insert(0, structure(df, expected))
-    results = reduce(DataFrame.unionByName, parts)
-    stamped = {
-        "run_id": F.lit(run_id or uuid.uuid4().hex),
-        "contract": F.lit(contract),
-        "dataset": F.lit(dataset),
-        "ts": F.lit(ts or datetime.now(timezone.utc)).cast("timestamp"),
-    }
-    names = StructType.fromDDL(CHECK_RESULT).names
-    return results.withColumns(stamped).select(*names)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _resolves(df: DataFrame, check: Check, variables: Mapping[str, Any]) -> bool:
@@ -345,7 +380,8 @@ def audit(
     if not audits:
         raise InvalidSpec("no audits given")
     parts = ", ".join(
-        f"CASE WHEN NOT coalesce(({_escape(expr)}), false) THEN '{name}' END" for name, expr in audits.items()
+        f"CASE WHEN NOT coalesce(({_escape(expr)}), false) THEN {_escape(_literal(name))} END"
+        for name, expr in audits.items()
     )
     text = f"SELECT *, array_compact(array({parts})) AS broken FROM {{rows}}"
     return _select(df, text, parse_variables(variables)).where("size(broken) > 0")

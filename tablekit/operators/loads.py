@@ -289,7 +289,7 @@ def remove_versions(spark: SparkSession, table: str, keep: int = 1, older_than:
     found = [(s.getModificationTime(), s.getPath()) for s in system.listStatus(path)]
     old = sorted((t, p.getName(), p) for t, p in found if p.getName().startswith("version-") and p.getName() != current)
     limit = (datetime.now(timezone.utc) - older_than).timestamp() * 1000
-    gone = [p for t, _, p in old[: len(old) - keep] if t <= limit]
+    gone = [p for t, _, p in old[: max(0, len(old) - keep)] if t <= limit]
     for one in gone:
         system.delete(one, True)
     return len(gone)

@@ -83,6 +83,17 @@ class IntervalLog:
             return self.spark.createDataFrame([], INTERVAL_LOG)
 
 
+class Written(int):
+    """Rows written, and in ``outside`` how many rows of the model were left out."""
+
+    outside: int
+
+    def __new__(cls, rows: int, outside: int) -> Written:
+        self = super().__new__(cls, rows)
+        self.outside = outside
+        return self
+
+
 def run(
     spark: SparkSession,
     model: Model,
@@ -92,12 +103,12 @@ def run(
     path: str | None = None,
     intervals: IntervalLog | None = None,
     log: RunLog | None = None,
-) -> int:
-    """Materialise an interval: its day partitions are replaced, all others stay. Returns rows written.
+) -> Written:
+    """Materialise an interval: its day partitions are replaced, all others stay.
 
-    Days of the interval that now have no rows lose their old partition, so running twice, or after
-    late deletes, leaves exactly what the model says. Rows of the model outside the interval, or without
-    a day, are left out and their number is logged.
+    Returns the rows written. Days of the interval that now have no rows lose their old partition, so running twice,
+    or after late deletes, leaves exactly what the model says. Rows of the model outside the interval, or without
+    a day, are left out: their number is the result's ``outside`` and is logged.
     """
     first, last = _day(start), _day(end)
     with loads.logged(log, "model", table, "partitions") as result:
@@ -118,7 +129,7 @@ def run(
             loads.drop_partition(spark, table, {model.day_column: gone.isoformat()})
         if intervals:
             intervals.add(model.name, first, last, uuid.uuid4().hex)
-    return result["rows"]
+    return Written(result["rows"], found["outside"])
 
 
 def _partition_days(spark: SparkSession, table: str, column: str, first: date, last: date) -> set[date]:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import sys
+import urllib.error
 import urllib.request
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 from tablekit.errors import InvalidSpec, UnsupportedFormat
@@ -22,6 +23,18 @@ def _get(url: str, headers: dict[str, str], timeout: float = 60.0) -> bytes:
         return reply.read()
 
 
+def _field(body, path: str | None):
+    """What a dotted path leads to; without one the body itself."""
+    for name in (path or "").split("."):
+        body = body[name] if name else body
+    return body
+
+
+def _records(endpoint: dict, body) -> list:
+    found = _field(body, endpoint.get("records"))
+    return found if isinstance(found, list) else [found]
+
+
 class Pages(InputPartition):
     """Consecutive pages of one endpoint, from ``first`` to before ``end``."""
 
@@ -50,9 +63,7 @@ class PagedReader(DataSourceReader):
         for page in range(partition.first, partition.end):
             path = endpoint["path"].replace("{page}", str(page)).lstrip("/")
             body = json.loads(_get(f"{self.base}/{path}", self.headers))
-            for name in (endpoint.get("records") or "").split("."):
-                body = body[name] if name else body
-            for record in body if isinstance(body, list) else [body]:
+            for record in _records(endpoint, body):
                 yield endpoint["name"], page, json.dumps(record, ensure_ascii=False)
 
 
@@ -69,6 +80,118 @@ class PagedRecords(DataSource):
     def reader(self, schema):
         return PagedReader(self.options)
 
+    def streamReader(self, schema):
+        return PagedStream(self.options)
+
+
+class Stretch(InputPartition):
+    """Records of one endpoint from ``start`` to before ``end``: places as in the offsets of :class:`PagedStream`."""
+
+    def __init__(self, endpoint: dict, start: dict, end: dict):
+        self.endpoint = endpoint
+        self.start = start
+        self.end = end
+
+
+class PagedStream(DataSourceStreamReader):
+    """New records of paged endpoints. An offset holds for each endpoint a page, and how many of its records are read.
+
+    Numbered pages (``{page}`` in the path) are looked for by doubling steps and halving, so the driver asks for few of
+    them and keeps two numbers; tasks read ranges of pages. Pages linked by cursors (``{cursor}`` in the path, the
+    next page's cursor in the field ``next``) can only be walked: the driver follows the links and keeps the last
+    cursor, one task reads the stretch. A page may grow until the next one appears: its new records come with the
+    next batch. A numbered page without records counts as absent, unless the endpoint is ``sparse``.
+    """
+
+    def __init__(self, options):
+        self.base = options["base_url"].rstrip("/")
+        self.endpoints = json.loads(options["endpoints"])
+        self.headers = json.loads(options.get("headers") or "{}")
+        self.reached = json.loads(options.get("reached") or "{}")
+
+    def _first(self, endpoint: dict) -> dict:
+        return {"at": endpoint.get("cursor", "") if "{cursor}" in endpoint["path"] else 0, "records": 0}
+
+    def initialOffset(self):
+        return {e["name"]: self._first(e) for e in self.endpoints}
+
+    def _page(self, endpoint: dict, at: int | str):
+        """The body of a page; None if there is none."""
+        path = endpoint["path"].replace("{cursor}" if isinstance(at, str) else "{page}", str(at)).lstrip("/")
+        try:
+            return json.loads(_get(f"{self.base}/{path}", self.headers))
+        except urllib.error.HTTPError as error:
+            if error.code != 404:
+                raise
+        except urllib.error.URLError as error:
+            if not isinstance(error.reason, FileNotFoundError):
+                raise
+        return None
+
+    def _there(self, endpoint: dict, page: int) -> bool:
+        body = self._page(endpoint, page)
+        return body is not None and bool(endpoint.get("sparse") or _records(endpoint, body))
+
+    def _next(self, endpoint: dict, body) -> str | None:
+        try:
+            found = _field(body, endpoint["next"])
+        except (KeyError, TypeError):
+            return None
+        return str(found) if found else None
+
+    def _last(self, endpoint: dict, start: dict) -> dict:
+        at, size = start["at"], start["records"]
+        if isinstance(at, str):
+            while (body := self._page(endpoint, at)) is not None:
+                following, size = self._next(endpoint, body), len(_records(endpoint, body))
+                if following is None:
+                    break
+                at, size = following, 0
+            return {"at": at, "records": size}
+        step = 1
+        while self._there(endpoint, at + step):
+            at, step = at + step, step * 2
+        while step > 1:  # the last page is less than ``step`` pages on
+            step //= 2
+            if self._there(endpoint, at + step):
+                at += step
+        body = self._page(endpoint, at)
+        found = 0 if body is None else len(_records(endpoint, body))
+        return {"at": at, "records": max(found, size) if at == start["at"] else found}
+
+    def latestOffset(self, *_):
+        self.reached = {e["name"]: self._last(e, self.reached.get(e["name"]) or self._first(e)) for e in self.endpoints}
+        return self.reached
+
+    def partitions(self, start, end):
+        found = []
+        for endpoint in self.endpoints:
+            first, last = start.get(endpoint["name"]) or self._first(endpoint), end.get(endpoint["name"])
+            if last is None or first == last:
+                continue
+            if isinstance(last["at"], str):
+                found.append(Stretch(endpoint, first, last))
+                continue
+            pages, step = last["at"] + 1, int(endpoint.get("pages_per_task", 1))
+            for page in range(first["at"], pages, step):
+                low = first if page == first["at"] else {"at": page, "records": 0}
+                found.append(Stretch(endpoint, low, last if page + step >= pages else {"at": page + step, "records": 0}))
+        return found
+
+    def read(self, partition):
+        endpoint, at, skip = partition.endpoint, partition.start["at"], partition.start["records"]
+        stop, size = partition.end["at"], partition.end["records"]
+        number = 0
+        while at is not None and (at != stop or size > skip):
+            body = self._page(endpoint, at)
+            if body is None:
+                return
+            for record in _records(endpoint, body)[skip : size if at == stop else None]:
+                yield endpoint["name"], number if isinstance(at, str) else at, json.dumps(record, ensure_ascii=False)
+            if at == stop:
+                return
+            at, skip, number = self._next(endpoint, body) if isinstance(at, str) else at + 1, 0, number + 1
+
 
 class ByteRange(InputPartition):
     def __init__(self, start: int, end: int):
@@ -159,6 +282,44 @@ def scan_rest(
     return parse_records(raw, "record", schema, keep=["endpoint", "page"]) if schema else raw
 
 
+def _committed(spark: SparkSession, checkpoint: str) -> str:
+    """The newest offset in a checkpoint as JSON; an empty object if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+    newest = max((int(n) for n in names if n.isdigit()), default=None)
+    if newest is None:
+        return "{}"
+    lines = spark.read.text(f"{checkpoint}/offsets/{newest}").collect()  # a version, metadata, one line for each source
+    return lines[-1].value if lines[-1].value.startswith("{") else "{}"
+
+
+def stream_rest(
+    spark: SparkSession,
+    base_url: str,
+    endpoints: list[dict],
+    headers: dict[str, str] | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """New records of paged REST endpoints as a stream of ``endpoint``, ``page`` and the JSON text ``record``.
+
+    Endpoints are those of :func:`scan_rest` without ``pages``, or have ``{cursor}`` in their path, ``next`` (the dotted
+    path of the next page's cursor) and ``cursor`` (the first one). How far each was read is in the checkpoint of the
+    query. Name it here too, if this is the query's only source: the search for the last page then goes on from there
+    after a restart, instead of from the first page. ``page`` of a page behind a cursor is its number in the batch.
+    """
+    if not endpoints:
+        raise InvalidSpec("no endpoints given")
+    for endpoint in endpoints:
+        if ("{page}" in endpoint["path"]) == ("{cursor}" in endpoint["path"] and "next" in endpoint):
+            raise InvalidSpec(f"endpoint {endpoint['name']!r} needs {{page}}, or {{cursor}} and next")
+    _register(spark)
+    options = {"base_url": base_url, "endpoints": json.dumps(endpoints), "headers": json.dumps(headers or {})}
+    if checkpoint:
+        options["reached"] = _committed(spark, checkpoint)
+    return spark.readStream.format("paged_records").options(**options).load()
+
+
 def scan_url(
     spark: SparkSession, url: str, fmt: str, schema: StructType | str, chunk_bytes: int = 64 * 1024 * 1024
 ) -> DataFrame:

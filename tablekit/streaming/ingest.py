@@ -24,16 +24,16 @@ def file_stream(
     schema: StructType | str,
     fmt: str = "parquet",
     pattern: str | None = None,
-    max_files: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """New files of a folder as a stream."""
+    """New files of a folder as a stream, in batches of about ``max_bytes`` (all that is there without it)."""
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
@@ -102,6 +102,30 @@ def snapshot(
     return _start(aggregate.writeStream.outputMode("complete").foreachBatch(apply), checkpoint, available_now)
 
 
+def closed(
+    aggregate: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    checkpoint: str,
+    path: str | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Keep a table, partitioned by day, of the days of a :func:`daily` aggregate that the watermark has closed.
+
+    Append mode: a day's rows leave the state when it closes, so the state holds the open days only, and each reaches
+    the table once. A batch rewrites the partitions of the days it closed; replayed after a failure it writes the same
+    rows again. Rows that arrive after their day has closed are dropped by the stream.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if session.catalog.tableExists(table) and batch.isEmpty():
+            return
+        loads.merge(session, batch, table, ["day", *keys], path=path, partition_by=["day"])
+
+    return _start(aggregate.writeStream.outputMode("append").foreachBatch(apply), checkpoint, available_now)
+
+
 class ChecksFailed(Exception):
     """A micro-batch failed its checks and ``fail_fast`` was set."""
 

@@ -387,3 +387,36 @@ def table_diff(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.when(F.col("l_quantity") > 49, "X").otherwise(F.col("l_returnflag")).alias("l_returnflag")
     return diff.table_diff(expected, lines.select("l_orderkey", "l_linenumber", flag))
 
+
+@case(
+    "contract_runtime_error",
+    """
+    SELECT 'rows' AS check_name, CAST(count(*) AS DOUBLE) AS metric, count(*) > 0 AS passed FROM events
+    UNION ALL SELECT 'value below 200', count(*) FILTER (WHERE NOT coalesce(value < 200, false)),
+      count(*) FILTER (WHERE NOT coalesce(value < 200, false)) = 0 FROM events
+    UNION ALL SELECT 'type is a number', CAST(NULL AS DOUBLE), false
+    """,
+)
+def contract_runtime_error(spark: SparkSession, sf: str) -> DataFrame:
+    """One audit raises on the first row it sees; it fails, and the others are checked all the same."""
+    wanted = [
+        Check("rows", "row_count", operator="must_be_greater_than"),
+        Check("type is a number", "audit", expr="CAST(event_type AS INT) > 0"),
+        Check("value below 200", "audit", expr="value < 200"),
+    ]
+    return checks.verify(read(spark, sf, "events"), wanted).select("check_name", "metric", "passed")
+
+
+@case(
+    "audit_names",
+    """
+    SELECT event_id, concat_ws('; ', CASE WHEN NOT coalesce(value < 100, false) THEN 'it''s {cheap}' END,
+      CASE WHEN event_type = 'error' THEN 'no \\error\\' END) AS broken
+    FROM events WHERE NOT coalesce(value < 100, false) OR event_type = 'error'
+    """.replace("\\\\", "\\"),
+)
+def audit_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Audits whose names hold quotes, braces and backslashes."""
+    audits = {"it's {cheap}": "value < 100", "no \\error\\": "event_type <> 'error'"}
+    found = checks.audit(read(spark, sf, "events"), audits)
+    return found.select("event_id", F.concat_ws("; ", "broken").alias("broken"))

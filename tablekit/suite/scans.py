@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 import pandas as pd
@@ -12,6 +13,7 @@ from tablekit.functions import udf
 from tablekit.operators import loads, query, schema, stats
 from tablekit.session import scratch_path, scratch_table
 from tablekit.sources import files, records, rest
+from tablekit.streaming import ingest
 from tablekit.suite.registry import case, read, sql, table_path
 
 ORDERS = (
@@ -120,21 +122,67 @@ def register_records(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(view)
 
 
+def _serve(orders: DataFrame, path: str) -> int:
+    """Write orders as pages ``<path>/<n>.json``, page n with the keys from n thousand on; returns the number of pages.
+
+    The pages are read as ``file:`` URLs, so the scratch folder must be mounted as a file system.
+    """
+    folder = path.removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    last = orders.agg(F.max(F.floor(F.col("o_orderkey") / 1000))).first()[0]
+    pages = 0 if last is None else last + 1
+    filled = orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("id")).agg(
+        F.collect_list(F.struct(*orders.columns)).alias("items")
+    )
+    every = orders.sparkSession.range(pages).join(filled, "id", "left")
+    following = F.when(F.col("id") + 1 < pages, (F.col("id") + 1).cast("string"))
+    body = F.to_json(F.struct(F.coalesce("items", F.array()).alias("items"), following.alias("next")))
+
+    def write(rows) -> None:
+        for row in rows:
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/{row.id}.json", "w", encoding="utf-8") as file:
+                file.write(row.body)
+
+    every.select("id", body.alias("body")).foreachPartition(write)
+    return pages
+
+
 @case("scan_rest", ORDERS_SQL)
 def scan_rest(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders served as pages of at most 1,000 records, read back one task per page.
+    """Orders served as numbered pages, read back in ranges of ten pages a task."""
+    path = scratch_path(spark, "pages")
+    pages = _serve(read(spark, sf, "orders"), path)
+    endpoint = {"name": "orders", "path": f"{path.removeprefix('file:')}/{{page}}.json", "pages": pages, "pages_per_task": 10}
+    return _orders(rest.scan_rest(spark, "file://", [{**endpoint, "records": "items"}], schema=ORDERS))
+
 
-    The pages are ``file:`` URLs, so the scratch folder must be mounted as a file system.
+@case("rest_incremental", ORDERS_SQL)
+def rest_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders served as numbered pages and, once more, as pages linked by cursors; some are added after each run.
+
+    The last page of a run grows before the next one, and a run may find nothing new. Both ways must load every order
+    once: one that they load differently often is left out, one that both load twice comes out twice.
     """
-    path = scratch_path(spark, "pages")
+    path, checkpoint = scratch_path(spark, "pages"), scratch_path(spark, "checkpoint")
+    folder = path.removeprefix("file:")
     orders = read(spark, sf, "orders")
-    paged = orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("page")).agg(
-        F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
+    most = orders.agg(F.max("o_orderkey")).first()[0] or 0
+    endpoints = [
+        {"name": "numbered", "path": f"{folder}/{{page}}.json", "records": "items", "pages_per_task": 10, "sparse": True},
+        {"name": "linked", "path": f"{folder}/{{cursor}}.json", "records": "items", "next": "next", "cursor": "0"},
+    ]
+    loaded = scratch_path(spark, "loaded")
+    for share in (0.3, 0.3, 0.77, 1.0):
+        _serve(orders.where(F.col("o_orderkey") <= F.lit(int(most * share))), path)
+        stream = rest.stream_rest(spark, "file://", endpoints, checkpoint=checkpoint)
+        ingest.ingest(stream, loaded, checkpoint)
+    stored = spark.read.schema("endpoint string, page int, record string").parquet(loaded)
+    parsed = records.parse_records(stored, "record", ORDERS, keep=["endpoint"])
+    loads_of = parsed.groupBy(*_orders(orders).columns).agg(
+        F.count_if(F.col("endpoint") == "numbered").alias("a"), F.count_if(F.col("endpoint") == "linked").alias("b")
     )
-    paged.repartition("page").write.partitionBy("page").text(path)
-    urls = spark.read.text(path).inputFiles()
-    endpoints = [{"name": "orders", "path": url.removeprefix("file:").lstrip("/")} for url in urls]
-    return _orders(rest.scan_rest(spark, "file://", endpoints, schema=ORDERS))
+    return _orders(loads_of.where("a = b").withColumn("n", F.explode(F.sequence(F.lit(1), F.col("a")))))
 
 
 @case(

@@ -190,3 +190,29 @@ def test_contract_round_trip(spark):
         Check("c", "duplicate_count", ("k", "v"), approx=True),
     ]
     assert checks.checks_from(checks.spec_frame(spark, wanted).orderBy("check_name")) == wanted
+
+
+def test_an_audit_that_raises_fails_alone(spark):
+    df = spark.createDataFrame([("1", 1), ("a", 2)], "v string, n int")
+    wanted = [
+        Check("number", "audit", expr="CAST(v AS INT) > 0"), Check("n", "audit", expr="n < 2"),
+        Check("rows", "row_count", threshold=2), Check("over", "audit", expr="1 / (n - n) > 0"),
+    ]
+    got = outcome(checks.verify(df, wanted, run_id="r"))
+    assert got == {"number": (None, False), "n": (1, False), "rows": (2, True), "over": (None, False)}
+    alone = outcome(checks.verify(df, wanted[:1]))
+    assert alone == {"number": (None, False)}
+
+
+def test_names_with_quotes_and_commas(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2)], "`a,b` int, c int")
+    names = ["it's", "{x}", "back\\slash", "`q`"]
+    found = checks.audit(df, {n: "c > 1" for n in names}).collect()
+    assert [r.broken for r in found] == [names]
+    wanted = [Check("it's", "duplicate_count", ("a,b",)), Check("pair", "duplicate_count", ("a,b", "c"))]
+    stored = checks.checks_from(checks.spec_frame(spark, wanted))
+    assert stored == wanted
+    assert outcome(checks.verify(df, stored)) == {"it's": (1, False), "pair": (0, True)}
+    plain = checks.spec_frame(spark, [Check("k", "duplicate_count", ("c",))]).drop("columns")
+    assert checks.checks_from(plain)[0].columns == ("c",)
+

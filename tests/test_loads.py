@@ -221,6 +221,7 @@ def test_old_versions_are_removed(spark, target, tmp_path):
     for n in range(3):
         loads.replace(spark, spark.createDataFrame([(n, "x", n)], SCHEMA), target)
     assert loads.remove_versions(spark, target) == 0
+    assert loads.remove_versions(spark, target, keep=5, older_than=timedelta(0)) == 0
     assert loads.remove_versions(spark, target, keep=1, older_than=timedelta(0)) == 2
     assert rows(spark.table(target)) == [(2, "x", 2)]
 

@@ -53,7 +53,9 @@ def test_rerun_drops_days_that_became_empty(spark, model, table, tmp_path):
     models.run(spark, thinner, "2024-01-07", "2024-01-07", table, path, log=log)
     assert [r[0].day for r in rows(spark.table(table), "day")] == [1, 2, 4, 5, 7]
     wild = models.Model("m", lambda s, a, b: model.query(s, None, None))
-    assert models.run(spark, wild, "2024-01-08", "2024-01-08", table, path, log=log) == 1
+    written = models.run(spark, wild, "2024-01-08", "2024-01-08", table, path, log=log)
+    assert written == 1 and written.outside == 30
+    assert models.run(spark, wild, "2024-01-08", "2024-01-08", table, path).outside == 30
     assert any("30 rows outside" in line for r in log.read().collect() for line in r.logs or ())
 
 
