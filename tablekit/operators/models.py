@@ -74,13 +74,27 @@ class IntervalLog:
         row = (model, start, end, run_id, datetime.now(timezone.utc))
         self.spark.createDataFrame([row], INTERVAL_LOG).coalesce(1).write.mode("append").parquet(self.path)
 
+    def forget(self, model: str, ranges: Sequence[tuple[date, date]]) -> None:
+        """These days are stale until they are loaded again: rows without a run."""
+        now = datetime.now(timezone.utc)
+        rows = [(model, start, end, None, now) for start, end in ranges]
+        if rows:
+            self.spark.createDataFrame(rows, INTERVAL_LOG).coalesce(1).write.mode("append").parquet(self.path)
+
     def read(self) -> DataFrame:
+        """The intervals that hold; days that were forgotten count from their next load on."""
         try:
-            return self.spark.read.schema(INTERVAL_LOG).parquet(self.path)
+            rows = self.spark.read.schema(INTERVAL_LOG).parquet(self.path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], INTERVAL_LOG)
+        if rows.where("run_id IS NULL").isEmpty():
+            return rows
+        day = F.explode(F.sequence("start_date", "end_date")).alias("day")
+        days = rows.where("start_date <= end_date").select("model", day, F.struct("loaded_at", "run_id").alias("last"))
+        held = days.groupBy("model", "day").agg(F.max("last").alias("last")).where("last.run_id IS NOT NULL")
+        return held.select("model", F.col("day").alias("start_date"), F.col("day").alias("end_date"), "last.run_id", "last.loaded_at")
 
 
 class Written(int):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablekit.functions import redact
-from tablekit.operators import edges, models, runs
+from tablekit.operators import edges, models, plan, runs, slots
+from tablekit.operators import intervals as sets
 from tablekit.session import scratch_path, scratch_table
 from tablekit.suite.registry import case, read
 
@@ -135,6 +136,171 @@ def interval_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table)
 
 
+@case(
+    "interval_hours",
+    """
+    SELECT strftime(ts, '%Y-%m-%dT%H') AS slot, event_type, count(*) AS events, round(sum(value), 2) AS value
+    FROM events WHERE ts >= TIMESTAMP '2024-01-02 22:00:00' AND ts < TIMESTAMP '2024-01-07' GROUP BY ALL
+    """,
+)
+def interval_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """A model by the hour with a hole of some hours and missing ends, filled by one job per run of missing hours."""
+
+    def query(session: SparkSession, start: datetime, end: datetime) -> DataFrame:
+        events = read(session, sf, "events").where((F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+        hour = sets.floor(F.col("ts"), "hour").alias("ts")
+        return events.groupBy(hour, "event_type").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("value"), 2).alias("value"))
+
+    table = scratch_table(spark, "hourly")
+    path = scratch_path(spark, table)
+    log = slots.LoadLog(spark, f"{path}-slots")
+    model = slots.SlotModel("hourly_events", query)
+    slots.run_slots(spark, model, "2024-01-03", "2024-01-05 07:00:00", table, path, log)
+    slots.run_slots(spark, model, "2024-01-05 12:30:00", "2024-01-06 03:15:00", table, path, log)
+    slots.backfill_slots(spark, model, "2024-01-02 22:00:00", "2024-01-07", table, log, path)
+    return spark.table(table).select("slot", "event_type", "events", "value")
+
+
+@case(
+    "interval_months",
+    """
+    SELECT strftime(l_shipdate, '%Y-%m') AS slot, l_returnflag, count(*) AS lines, round(sum(l_quantity), 2) AS quantity
+    FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1997-01-01' GROUP BY ALL
+    """,
+)
+def interval_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A model by the month; a month is loaded only if all of it is."""
+
+    def query(session: SparkSession, start: datetime, end: datetime) -> DataFrame:
+        lines = read(session, sf, "lineitem").where((F.col("l_shipdate") >= F.lit(start)) & (F.col("l_shipdate") < F.lit(end)))
+        month = sets.floor(F.col("l_shipdate"), "month").alias("ts")
+        return lines.groupBy(month, "l_returnflag").agg(
+            F.count(F.lit(1)).alias("lines"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+        )
+
+    table = scratch_table(spark, "monthly")
+    path = scratch_path(spark, table)
+    log = slots.LoadLog(spark, f"{path}-slots")
+    model = slots.SlotModel("monthly_lines", query, "month")
+    slots.run_slots(spark, model, "1995-03-15", "1995-06-02", table, path, log)
+    slots.run_slots(spark, model, "1996-02-01", "1996-03-01", table, path, log)
+    slots.backfill_slots(spark, model, "1995-01-01", "1996-12-31", table, log, path)
+    return spark.table(table).select("slot", "l_returnflag", "lines", "quantity")
+
+
+@case(
+    "partition_keys",
+    """
+    SELECT c_mktsegment AS segment, c_nationkey, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+    FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY', 'HOUSEHOLD') GROUP BY ALL
+    """,
+)
+def partition_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A model in partitions by key: two keys are loaded, one of them empty at first, then what is missing of a list."""
+
+    def query(session: SparkSession, keys: list[str]) -> DataFrame:
+        customers = read(session, sf, "customer").where(F.col("c_mktsegment").isin(list(keys)))
+        return customers.groupBy("c_nationkey", F.col("c_mktsegment").alias("segment")).agg(
+            F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")
+        )
+
+    table = scratch_table(spark, "segments")
+    path = scratch_path(spark, table)
+    log = slots.LoadLog(spark, f"{path}-keys", slots.KEY_LOG)
+    model = slots.KeyedModel("segments", query, "segment")
+    slots.run_keys(spark, model, ["BUILDING", "no such segment"], table, path, log)
+    slots.run_keys(spark, model, ["BUILDING"], table, path, log)
+    slots.backfill_keys(spark, model, ["MACHINERY", "BUILDING", "AUTOMOBILE", "HOUSEHOLD", "no such segment"], table, log, path)
+    return spark.table(table).select("segment", "c_nationkey", "customers", "balance")
+
+
+def _spells(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """Events of a type as intervals of their value in minutes, by the last digit of the user."""
+    length = F.make_dt_interval(secs=F.round(F.col("value") * 60, 0))
+    return read(spark, sf, "events").where(F.col("event_type") == kind).select(
+        (F.col("user_id") % 10).alias("model"), F.date_trunc("second", "ts").cast("timestamp_ntz").alias("start"),
+        (F.date_trunc("second", "ts").cast("timestamp_ntz") + length).alias("end"),
+    )
+
+
+_SPELLS = """
+    WITH spells AS (
+      SELECT event_type, user_id % 10 AS model, date_trunc('second', ts) AS "start",
+        date_trunc('second', ts) + to_seconds(CAST(round(value * 60, 0) AS BIGINT)) AS "end" FROM events),
+    ends AS (
+      SELECT model, "start" AS t, CASE event_type WHEN 'view' THEN 1 ELSE 0 END AS l, CASE event_type WHEN 'error' THEN 1 ELSE 0 END AS r
+      FROM spells WHERE "start" < "end" AND event_type IN ('view', 'error')
+      UNION ALL SELECT model, "end", CASE event_type WHEN 'view' THEN -1 ELSE 0 END, CASE event_type WHEN 'error' THEN -1 ELSE 0 END
+      FROM spells WHERE "start" < "end" AND event_type IN ('view', 'error')),
+    steps AS (SELECT model, t, sum(l) AS l, sum(r) AS r FROM ends GROUP BY model, t),
+    swept AS (SELECT model, t AS "start", lead(t) OVER w AS "end", sum(l) OVER w AS l, sum(r) OVER w AS r
+              FROM steps WINDOW w AS (PARTITION BY model ORDER BY t)),
+    kept AS (SELECT model, "start", "end", "start" IS DISTINCT FROM lag("end") OVER (PARTITION BY model ORDER BY "start") AS fresh
+             FROM swept WHERE {where}),
+    runs AS (SELECT *, count(*) FILTER (WHERE fresh) OVER (PARTITION BY model ORDER BY "start") AS run FROM kept)
+    SELECT model, min("start") AS "start", max("end") AS "end" FROM runs GROUP BY model, run
+"""
+
+
+@case("interval_merge", _SPELLS.format(where="l > 0"))
+def interval_merge(spark: SparkSession, sf: str) -> DataFrame:
+    return sets.merge(_spells(spark, sf, "view"), ["model"])
+
+
+@case("interval_subtract", _SPELLS.format(where="l > 0 AND r = 0"))
+def interval_subtract(spark: SparkSession, sf: str) -> DataFrame:
+    return sets.subtract(_spells(spark, sf, "view"), _spells(spark, sf, "error"), ["model"])
+
+
+@case("interval_intersect", _SPELLS.format(where="l > 0 AND r > 0"))
+def interval_intersect(spark: SparkSession, sf: str) -> DataFrame:
+    return sets.intersect(_spells(spark, sf, "view"), _spells(spark, sf, "error"), ["model"])
+
+
+@case(
+    "model_selection",
+    """
+    WITH days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS events, round(sum(value), 2) AS value FROM events
+                  WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-21' GROUP BY 1)
+    SELECT day, events, value, events - coalesce(lag(events) OVER (ORDER BY day), 0) AS more FROM days
+    """,
+)
+def model_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Three models, each reading the one before: events by type, all events, and the change since the day before.
+
+    All run while four days of the first are missing. Then the first is selected with all that need it: its hole is
+    filled, and the days that this changes further down, with the day after them, are loaded again.
+    """
+    names = ("by_type", "by_day", "change")
+    tables = {n: scratch_table(spark, n) for n in names}
+    first = daily_model(sf)
+
+    def by_day(session: SparkSession, start: date | None, end: date | None) -> DataFrame:
+        rows = session.table(tables["by_type"])
+        return rows.where(models.interval(rows, "day", start, end)).groupBy("day").agg(
+            F.sum("events").alias("events"), F.round(F.sum("value"), 2).alias("value")
+        )
+
+    def change(session: SparkSession, start: date | None, end: date | None) -> DataFrame:
+        rows = session.table(tables["by_day"])
+        own = rows.where(models.interval(rows, "day", start, end))
+        last = rows.select(F.date_add("day", 1).alias("day"), F.col("events").alias("last"))
+        joined = own.join(last, "day", "left")
+        return joined.select("events", "value", (F.col("events") - F.coalesce("last", F.lit(0))).alias("more"), "day")
+
+    def node(name: str, query, needs: tuple[str, ...] = (), reach: int = 0) -> plan.Node:
+        return plan.Node(models.Model(name, query), tables[name], needs, reach, scratch_path(spark, tables[name]))
+
+    by_type = node("by_type", first.query)
+    nodes = [node("change", change, ("by_day",), 1), node("by_day", by_day, ("by_type",)), by_type]
+    log = models.IntervalLog(spark, scratch_path(spark, "intervals"))
+    for start, end in (("2024-01-01", "2024-01-05"), ("2024-01-10", "2024-01-20")):
+        models.run(spark, by_type.model, start, end, by_type.table, by_type.path, log)
+    plan.apply(spark, nodes, "2024-01-01", "2024-01-20", log, "by_day, change")
+    plan.apply(spark, nodes, "2024-01-01", "2024-01-20", log, "by_type+")
+    return spark.table(tables["change"]).select("day", "events", "value", "more")
+
+
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
     """Edges region -> nation -> customer -> order, and nation -> supplier."""
 
