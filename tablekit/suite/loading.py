@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.operators import loads, runs, schema
+from tablekit.operators import history, loads, runs, schema
 from tablekit.session import scratch_path, scratch_table
 from tablekit.sources import files, records
 from tablekit.suite.registry import case, read, table_path
@@ -278,3 +278,52 @@ def evolve_widths(spark: SparkSession, sf: str) -> DataFrame:
 def evolve_union(spark: SparkSession, sf: str) -> DataFrame:
     nations = read(spark, sf, "nation").toDF("key", "name", "region")
     return schema.evolve_union(nations, read(spark, sf, "region").toDF("key", "name"))
+
+
+# Events read as changes of a user's row; an error deletes it. Of two at one time the greater counts.
+_CHANGES = """
+    WITH changes AS (
+      SELECT user_id, ts, event_type = 'error' AS gone, event_id, event_type, value FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY gone DESC, event_id DESC) = 1),
+    linked AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS until FROM changes)
+"""
+
+
+def _changes(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "events").select(
+        "user_id", "ts", (F.col("event_type") == "error").alias("gone"), "event_id", "event_type", "value"
+    )
+
+
+def _history(spark: SparkSession, sf: str, buckets: int) -> DataFrame:
+    """All changes in three batches, the middle of the month last; the first batch comes again at the end."""
+    table = scratch_table(spark, "history")
+    path = scratch_path(spark, table)
+    changes = _changes(spark, sf)
+    day = F.dayofmonth("ts")
+    batches = [changes.where(day > 20), changes.where(day <= 10), changes.where(day.between(11, 20)), changes.where(day > 20)]
+    for batch in batches:
+        history.merge(spark, batch, table, ["user_id"], "ts", "gone", path, buckets)
+    return spark.table(table)
+
+
+@case(
+    "load_history",
+    _CHANGES + "SELECT user_id, ts AS valid_from, until AS valid_to, gone AS is_deleted, event_id, event_type, value FROM linked",
+)
+def load_history(spark: SparkSession, sf: str) -> DataFrame:
+    return _history(spark, sf, 16).select("user_id", "valid_from", "valid_to", "is_deleted", "event_id", "event_type", "value")
+
+
+@case(
+    "history_as_of",
+    _CHANGES
+    + """
+    SELECT user_id, event_id, event_type, value FROM linked
+    WHERE ts <= TIMESTAMP '2024-01-15 12:00:00' AND coalesce(until > TIMESTAMP '2024-01-15 12:00:00', true) AND NOT gone
+    """,
+)
+def history_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Users as they were at noon of a day."""
+    return history.as_of(_history(spark, sf, 0), "2024-01-15 12:00:00").select("user_id", "event_id", "event_type", "value")
+

@@ -420,3 +420,45 @@ def audit_names(spark: SparkSession, sf: str) -> DataFrame:
     audits = {"it's {cheap}": "value < 100", "no \\error\\": "event_type <> 'error'"}
     found = checks.audit(read(spark, sf, "events"), audits)
     return found.select("event_id", F.concat_ws("; ", "broken").alias("broken"))
+
+
+@case(
+    "table_diff_keys",
+    """
+    WITH actual AS (
+      SELECT o_orderkey, CASE WHEN o_orderkey % 5000 = 17 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+        CASE WHEN o_orderkey BETWEEN 300 AND 320 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderkey BETWEEN 310 AND 330 THEN NULL ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderkey NOT BETWEEN 700 AND 703
+      UNION ALL SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+      FROM orders WHERE o_orderkey BETWEEN 5 AND 9),
+    pairs AS (
+      SELECT coalesce(e.o_orderkey, a.o_orderkey) AS o_orderkey, a.o_orderkey IS NULL AS missing, e.o_orderkey IS NULL AS extra,
+        concat_ws(',', CASE WHEN e.o_custkey IS DISTINCT FROM a.o_custkey THEN 'o_custkey' END,
+          CASE WHEN e.o_orderstatus IS DISTINCT FROM a.o_orderstatus THEN 'o_orderstatus' END,
+          CASE WHEN e.o_totalprice IS DISTINCT FROM a.o_totalprice THEN 'o_totalprice' END) AS columns
+      FROM orders e FULL JOIN actual a ON e.o_orderkey = a.o_orderkey)
+    SELECT o_orderkey, CASE WHEN missing THEN 'missing' WHEN extra THEN 'extra' ELSE 'changed' END AS diff,
+      CASE WHEN missing OR extra THEN '' ELSE columns END AS columns
+    FROM pairs WHERE missing OR extra OR columns <> ''
+    """,
+)
+def table_diff_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against a copy with changed, lost and added ones: which columns of which keys differ."""
+    orders = read(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    key = F.col("o_orderkey")
+    actual = orders.where(~key.between(700, 703)).withColumns(
+        {
+            "o_custkey": F.when(key % 5000 == 17, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+            "o_orderstatus": F.when(key.between(300, 320), "X").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.when(~key.between(310, 330), F.col("o_totalprice")),
+        }
+    )
+    added = orders.where(key.between(5, 9)).withColumn("o_orderkey", key + 10_000_000)
+    path = scratch_path(spark, "orders")
+    actual.unionByName(added).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    found = diff.diff_keys(orders, spark.read.parquet(path), ["o_orderkey"])
+    return found.withColumn("columns", F.concat_ws(",", "columns"))
+
