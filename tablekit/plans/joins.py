@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 from pyspark.sql.window import Window
 
+from tablekit.errors import InvalidSpec
 from tablekit.plans.windows import AT, before, inside, tag
 
 
@@ -51,28 +53,99 @@ def asof_join(
     )
 
 
+#: Points of a cell that are joined in one piece; the cell of a frequent value is dealt to several.
+SPLIT_ROWS = 1_000_000
+#: Levels of cells at most: 2 ** MOST_LEVELS cells on the lowest.
+MOST_LEVELS = 40
+
+
+def _number(column: Column, kind: DataType) -> Column:
+    """A double that never decreases along the column's order; NULL for NaN."""
+    if isinstance(kind, NumericType):
+        return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+    if isinstance(kind, DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(kind, TimestampNTZType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, column).cast("double")
+    raise InvalidSpec(f"a range over {kind.simpleString()}")
+
+
+def cover(first: Column, last: Column, levels: int) -> Column:
+    """The fewest dyadic cells that make up the cells ``first`` to ``last`` of the lowest level.
+
+    Structs of ``level`` and ``node``, where node n of a level holds the nodes 2n and 2n + 1 of the level below; at
+    most two on each level.
+    """
+
+    def ends(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+        low = F.call_function("shiftright", first + size - 1, level)
+        high = F.call_function("shiftright", last + 1, level)
+        here = F.struct(level.alias("level"), low.alias("node"))
+        there = F.struct(level.alias("level"), (high - 1).alias("node"))
+        return F.when(
+            low < high,
+            F.array_compact(F.array(F.when(low % 2 == 1, here), F.when(high % 2 == 1, there))),
+        ).otherwise(F.array().cast("array<struct<level:int,node:bigint>>"))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), ends))
+
+
 def range_join(
     points: DataFrame,
     intervals: DataFrame,
     point: str,
     low: str,
     high: str,
-    width: float,
     keys: Sequence[str] = (),
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
-    """Pairs with ``low <= point <= high`` (and equal ``keys``), planned as an equi-join.
+    """Pairs with ``low <= point <= high`` (and equal ``keys``), planned as an equi-join, for intervals of any length.
 
-    Each interval is listed under every ``width``-wide bucket it touches, each point under one, so
-    no pair meets twice. Choose ``width`` near the typical interval length.
+    The range of the points is cut into as many cells as there are points, rounded up to a power of two, and cells
+    are paired into larger ones level by level. An interval is listed under the few cells that make it up, at most
+    two on each level, a point under its cell on each level that any interval uses; so no pair meets twice, and long
+    intervals cost no more than short ones. A cell with more than ``split_rows`` points of a key is dealt to several
+    pieces by a hash of the point's row; its intervals go to each. (Rows equal in all columns stay together: count
+    them first.) Points and ends may be numbers, dates or timestamps; NULL and NaN match nothing.
     """
-    cell = "__cell"
-    w = F.lit(float(width))
-    listed = intervals.where(F.col(low) <= F.col(high)).withColumn(
-        cell, F.explode(F.sequence(F.floor(F.col(low) / w), F.floor(F.col(high) / w)))
-    )
-    placed = points.withColumn(cell, F.floor(F.col(point) / w))
-    joined = placed.join(listed, [*keys, cell])
-    return joined.where(F.col(point).between(F.col(low), F.col(high))).drop(cell)
+    kinds = {c: df.schema[c].dataType for df, c in ((points, point), (intervals, low), (intervals, high))}
+    x = _number(F.col(point), kinds[point])
+    finite = F.when(F.abs(x) < float("inf"), x)
+    facts = points.agg(F.count(x).alias("n"), F.min(x).alias("least"), F.max(x).alias("most"), F.min(finite).alias("low"), F.max(finite).alias("high")).first()
+    levels = min(max(facts.n, 1).bit_length(), MOST_LEVELS)
+    bottom, top = facts.low or 0.0, facts.high or 0.0
+
+    def cell(value: Column) -> Column:
+        inside = F.least(F.greatest(value, F.lit(bottom)), F.lit(top))
+        share = (inside - F.lit(bottom)) / F.lit(top - bottom) if top > bottom else F.lit(0.0)
+        return F.least(F.floor(share * F.lit(float(1 << levels))), F.lit((1 << levels) - 1)).cast("bigint")
+
+    ends = [_number(F.col(c), kinds[c]) for c in (low, high)]
+    # An end that is NaN or NULL matches nothing; an interval beyond all points is left out.
+    meets = (F.col(low) <= F.col(high)) & (ends[0] <= F.lit(facts.most)) & (ends[1] >= F.lit(facts.least))
+    listed = intervals.where(meets).withColumn("__at", F.explode(cover(cell(ends[0]), cell(ends[1]), levels)))
+    used = sorted(r[0] for r in listed.select("__at.level").distinct().collect())  # at most MOST_LEVELS numbers
+    placed = points.where(x.isNotNull()).withColumn("__cell", cell(x))
+    at = [F.struct(F.lit(k).alias("level"), F.shiftright(F.col("__cell"), k).alias("node")) for k in used]
+    nowhere = F.array().cast("array<struct<level:int,node:bigint>>")
+
+    def spread(df: DataFrame) -> DataFrame:
+        return df.withColumn("__at", F.explode(F.array(*at) if at else nowhere)).drop("__cell")
+
+    # Cells with many points: counted on the lowest level first, so a frequent value is one row.
+    counts = spread(placed.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n")))
+    heavy = counts.groupBy(*keys, "__at").agg(F.sum("__n").alias("__n")).where(F.col("__n") > split_rows)
+    heavy = heavy.select(*keys, "__at", F.ceil(F.col("__n") / split_rows).cast("int").alias("__pieces"))
+    pieces = F.coalesce("__pieces", F.lit(1))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in points.columns])
+    left = spread(placed).join(heavy, [*keys, "__at"], "left").withColumn("__piece", F.pmod(row, pieces).cast("int"))
+    right = listed.join(heavy, [*keys, "__at"], "left").withColumn("__piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    joined = left.drop("__pieces").join(right.drop("__pieces"), [*keys, "__at", "__piece"])
+    return joined.where(F.col(point).between(F.col(low), F.col(high))).drop("__at", "__piece")
 
 
 def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

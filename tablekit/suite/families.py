@@ -101,8 +101,8 @@ def join_not_in(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BANDS = """
-    SELECT p_brand AS brand, p_size AS size, min(p_retailprice) - 800 AS low, max(p_retailprice) - 780 AS high
-    FROM {part} GROUP BY p_brand, p_size
+    SELECT p_brand AS brand, p_size AS size, min(p_retailprice) - 900 AS low,
+      min(p_retailprice) - 900 + 0.01 * power(2, p_size % 18) AS high FROM {part} GROUP BY p_brand, p_size
 """
 
 
@@ -115,10 +115,10 @@ _BANDS = """
     """,
 )
 def join_range(spark: SparkSession, sf: str) -> DataFrame:
-    """Events per price band. Equal values are merged first, so a frequent value joins once."""
+    """Events per price band; bands are 0.01 to 1310 long. Equal values are merged first, so a frequent one joins once."""
     values = read(spark, sf, "events").groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
     bands = sql(spark, sf, _BANDS)
-    joined = joins.range_join(values, bands, "value", "low", "high", width=20)
+    joined = joins.range_join(values, bands, "value", "low", "high")
     return joined.groupBy("brand", "size").agg(F.sum("n").alias("events"), F.round(F.sum("v"), 2).alias("value"))
 
 

@@ -6,15 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tablekit.plans import joins, windows
+from tablekit.plans import joins, order, windows
 from tablekit.suite.registry import case, read
 
 
-def _price_cells() -> list:
-    # Order totals rounded down to thousands never decrease along the price order.
-    return [F.floor(F.col("o_totalprice") / 1000)]
-
-
 @case(
     "win_rank",
     """
@@ -28,12 +23,10 @@ def _price_cells() -> list:
 )
 def win_rank(spark: SparkSession, sf: str) -> DataFrame:
     orders = read(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    order = [F.col("o_totalprice"), F.col("o_orderkey")]
-    numbered = windows.row_numbers(orders, ["o_custkey"], order, _price_cells(), size="n")
-    ranked = windows.value_ranks(numbered, ["o_custkey"], "o_totalprice", _price_cells())
+    ranked = order.rankings(orders, ["o_custkey"], "o_totalprice", ["o_orderkey"])
     return ranked.select(
         "o_custkey", "o_orderkey", "o_totalprice", "row_number",
-        windows.tiles(F.col("row_number"), F.col("n"), 4).cast("bigint").alias("tile"),
+        windows.tiles(F.col("row_number"), F.col("size"), 4).cast("bigint").alias("tile"),
         "rank", "dense_rank", F.round("percent_rank", 6).alias("percent_rank"),
         F.round("cume_dist", 6).alias("cume_dist"),
     )
@@ -80,9 +73,9 @@ def win_nth_value(spark: SparkSession, sf: str) -> DataFrame:
 def win_running(spark: SparkSession, sf: str) -> DataFrame:
     """Running sum over the rows of a user."""
     events = read(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    order = [F.col("ts"), F.col("event_id")]
+    along = [F.col("ts"), F.col("event_id")]
     summed = windows.running_sum(
-        events, ["user_id"], order, [F.date_trunc("day", "ts")], F.col("value"), "running"
+        events, ["user_id"], along, [F.date_trunc("day", "ts")], F.col("value"), "running"
     )
     return summed.select("event_id", "user_id", "ts", F.round("running", 2).alias("running"))
 
@@ -163,13 +156,11 @@ def win_qualify(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def sort_nulls(spark: SparkSession, sf: str) -> DataFrame:
-    """Position in a total order with NULLs last; only the bucket summary meets in one task."""
+    """Position in a total order with NULLs last; what one task gathers is a count for each task."""
     parts = read(spark, sf, "part").select(
         "p_partkey", F.when(F.col("p_brand") != "Brand#5", F.col("p_size")).alias("size")
     )
-    order = [F.col("size").desc_nulls_last(), F.col("p_partkey")]
-    buckets = [F.coalesce(-F.col("size"), F.lit(1)), F.floor(F.col("p_partkey") / 100_000)]
-    return windows.row_numbers(parts, [], order, buckets, name="position")
+    return order.positions(parts, [], [F.col("size").desc_nulls_last(), F.col("p_partkey")], name="position")
 
 
 @case(
@@ -219,9 +210,7 @@ def join_asof(spark: SparkSession, sf: str) -> DataFrame:
 def agg_quantile(spark: SparkSession, sf: str) -> DataFrame:
     """Exact quantiles of few large groups, without holding a group's values in one buffer."""
     events = read(spark, sf, "events").select("event_type", "value")
-    found = windows.exact_quantiles(
-        events, ["event_type"], "value", {"p10": 0.1, "p50": 0.5, "p95": 0.95}, [F.floor("value")]
-    )
+    found = order.quantiles(events, ["event_type"], "value", {"p10": 0.1, "p50": 0.5, "p95": 0.95})
     counts = events.groupBy("event_type").agg(F.count("value").alias("n"))
     rounded = found.select("event_type", *[F.round(c, 6).alias(c) for c in ("p10", "p50", "p95")])
     return rounded.join(counts, "event_type")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tablekit.plans import joins, windows
+from tablekit.plans import joins, order, windows
 from tests.conftest import rows
 
 SCHEMA = "id int, k string, ts int, v double"
@@ -66,6 +66,43 @@ def test_value_ranks(skewed):
     assert rows(got, "id", "rank", "dense_rank", "percent_rank", "cume_dist") == rows(want)
 
 
+def test_positions_and_rankings(skewed):
+    along = [F.col("ts"), F.col("id")]
+    got = order.positions(skewed, ["k"], along, size="n")
+    w = Window.partitionBy("k")
+    want = skewed.select("id", F.row_number().over(w.orderBy(*along)).alias("row_number"), F.count(F.lit(1)).over(w).alias("n"))
+    assert rows(got, "id", "row_number", "n") == rows(want)
+    whole = order.positions(skewed, [], [F.col("v").desc_nulls_last(), F.col("id")], "p")
+    by_value = Window.partitionBy(F.lit(1)).orderBy(F.col("v").desc_nulls_last(), "id")
+    assert rows(whole, "id", "p") == rows(skewed.select("id", F.row_number().over(by_value).alias("p")))
+    ranked = order.rankings(skewed, ["k"], "v", ["id"])
+    v = w.orderBy("v")
+    want = skewed.select(
+        "id", F.row_number().over(w.orderBy("v", "id")).alias("row_number"), F.rank().over(v).alias("rank"),
+        F.dense_rank().over(v).alias("dense_rank"), F.percent_rank().over(v).alias("percent_rank"),
+        F.cume_dist().over(v).alias("cume_dist"),
+    )
+    assert rows(ranked, *want.columns) == rows(want)
+    assert order.rankings(skewed.limit(0), ["k"], "v").count() == 0
+
+
+def test_rankings_read_twice_and_shuffle_little(skewed):
+    """What is left to do once positions are written: two scans, and no task that gathers all rows."""
+    plan = _plan(order.rankings(skewed, ["k"], "v", ["id"]))
+    plan = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange") <= 4 and "SinglePartition" not in plan
+
+
+def test_quantiles(skewed):
+    asked = {"a": 0.0, "b": 0.31, "c": 0.5, "d": 1.0}
+    digits = [F.round(c, 9).alias(c) for c in asked]
+    exact = [F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY v)").alias(n) for n, p in asked.items()]
+    known = skewed.where("v IS NOT NULL")
+    got = order.quantiles(skewed, ["k"], "v", asked).select("k", *digits)
+    assert rows(got) == rows(known.groupBy("k").agg(*exact).select("k", *digits))
+    assert rows(order.quantiles(skewed, [], "v", asked).select(*digits)) == rows(known.agg(*exact).select(*digits))
+
+
 def test_running_sum(skewed):
     order = [F.col("ts"), F.col("id")]
     got = windows.running_sum(skewed, ["k"], order, by_ts(), F.col("v"), "s")
@@ -112,13 +149,44 @@ def test_asof_against_brute_force(spark, skewed):
     assert rows(got, "id", "rid", "v") == rows(spark.createDataFrame(want, "id int, rid int, v double"))
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_range_join_against_brute_force(spark, skewed, width):
-    bands = [("p", 0.0, 3.0), ("q", 2.5, 120.0), ("r", 120.0, 120.0), ("s", 50.0, 40.0), ("t", -5.0, 900.0)]
+@pytest.mark.parametrize("split", [10, 1_000_000])
+def test_range_join_against_brute_force(spark, skewed, split):
+    """Intervals from one value to everything; a hot value's cell is split."""
+    nan, inf = float("nan"), float("inf")
+    bands = [("p", 0.0, 3.0), ("q", 2.5, 120.0), ("r", 120.0, 120.0), ("s", 50.0, 40.0), ("t", -5.0, 900.0), ("u", -inf, inf)]
+    bands += [("v", 3.0, 3.01), ("w", 500.0, 600.0), ("x", -9.0, -1.0), ("y", None, 5.0), ("z", 1.0, None)]
+    bands += [(f"b{i}", float(i * 7), float(i * 7 + i)) for i in range(40)]
     intervals = spark.createDataFrame(bands, "name string, lo double, hi double")
-    got = joins.range_join(skewed, intervals, "v", "lo", "hi", width)
-    want = [(r.id, n) for r in skewed.collect() for n, lo, hi in bands if r.v is not None and lo <= r.v <= hi]
+    points = skewed.unionByName(spark.createDataFrame([(-1, "a", 0, nan), (-2, "a", 0, inf), (-3, "a", 0, -inf)], SCHEMA))
+    got = joins.range_join(points, intervals, "v", "lo", "hi", split_rows=split)
+    known = lambda v: v is not None and v == v
+    want = [(r.id, n) for r in points.collect() for n, lo, hi in bands if known(r.v) and known(lo) and known(hi) and lo <= r.v <= hi]
     assert rows(got, "id", "name") == sorted(want, key=lambda p: (str(p[0]), p[1]))
+    keyed = intervals.withColumn("k", F.lit("hot"))
+    by_key = joins.range_join(points, keyed, "v", "lo", "hi", ["k"], split)
+    hot = {r.id for r in points.where("k = 'hot'").collect()}
+    assert rows(by_key, "id", "name") == [p for p in sorted(want, key=lambda p: (str(p[0]), p[1])) if p[0] in hot]
+    assert joins.range_join(points.limit(0), intervals, "v", "lo", "hi").count() == 0
+    assert joins.range_join(points, intervals.limit(0), "v", "lo", "hi").count() == 0
+
+
+def test_range_join_over_times(spark):
+    days = spark.sql("SELECT id, DATE '2024-01-01' + int(id) AS d FROM range(40)")
+    spans = spark.sql("SELECT 'a' AS n, DATE '2024-01-03' AS lo, DATE '2024-01-05' AS hi UNION ALL SELECT 'b', DATE '2023-01-01', DATE '2024-01-02'")
+    want = [(0, "b"), (1, "b"), (2, "a"), (3, "a"), (4, "a")]
+    assert rows(joins.range_join(days, spans, "d", "lo", "hi"), "id", "n") == want
+    stamped = days.withColumn("d", F.col("d").cast("timestamp_ntz"))
+    ntz = spans.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("lo", "hi")})
+    assert rows(joins.range_join(stamped, ntz, "d", "lo", "hi"), "id", "n") == want
+
+
+def test_cover_is_exact_and_small(spark):
+    cells = spark.range(64).withColumnRenamed("id", "a").crossJoin(spark.range(64).withColumnRenamed("id", "b")).where("a <= b")
+    covered = cells.withColumn("c", joins.cover(F.col("a"), F.col("b"), 6))
+    assert covered.agg(F.max(F.size("c"))).first()[0] <= 12
+    for r in covered.collect():
+        leaves = [leaf for n in r.c for leaf in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(leaves) == list(range(r.a, r.b + 1))
 
 
 def test_not_in_null_rules(spark):
