@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.errors import InvalidSpec
 from tablekit.session import materialize
 
-# Rounds between rewrites of the visited set, so its plan stays short on long paths.
+# Layers of visited pairs before the old ones are written as one, so the plan stays short.
 _COMPACT_EVERY = 10
+#: Rounds by single edges before jumps are made: most graphs are done by then.
+STEPS = 4
+#: Jumps are doubled while that makes at most so many pairs for each edge.
+GROWTH = 4
 
 
 def neighbors(edges: DataFrame, node: str | None = None) -> DataFrame:
@@ -24,23 +30,56 @@ def neighbors(edges: DataFrame, node: str | None = None) -> DataFrame:
     return links.join(counts, "node")
 
 
+def _doubled(jumps: DataFrame, most: int) -> DataFrame | None:
+    """Two jumps as one, if that makes at most ``most`` pairs before duplicates go; else None."""
+    out = jumps.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("out"))
+    into = jumps.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("into"))
+    # The pairs of two jumps, counted at the node between them.
+    pairs = out.join(into, "node").agg(F.sum(F.col("out").cast("double") * F.col("into"))).first()[0] or 0
+    if pairs > most:
+        return None
+    far = jumps.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
+    two = jumps.join(far, jumps.dst == far.mid).select("src", F.col("far").alias("dst")).distinct()
+    return materialize(two, "jumps")
+
+
 def _reach(edges: DataFrame, starts: DataFrame | None, max_depth: int | None) -> DataFrame:
-    """``(start, node, depth)``: every node on a directed path from ``start``, with its distance."""
+    """``(start, node, depth)``: every node on a directed path from ``start``, with its distance.
+
+    A round extends the pairs of the last ``length`` distances by jumps of exactly that length: a shortest path of
+    d steps is one of d - length steps and a jump. The jumps are doubled after each round while they stay few, so a
+    long path takes as many rounds as its length has binary digits; in a bushy graph, where double jumps would be many,
+    rounds go on with the jumps there are. Pairs already known are dropped, so cycles end.
+    """
     links = materialize(edges.select("src", "dst").where("src <> dst").distinct(), "links")
-    frontier = links if starts is None else links.join(starts, links.src == starts.start, "left_semi")
-    frontier = frontier.select(F.col("src").alias("start"), F.col("dst").alias("node"), F.lit(1).alias("depth"))
-    visited = frontier = materialize(frontier, "reach")
-    depth = 1
-    while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
-        depth += 1
-        step = frontier.join(links, frontier.node == links.src).select("start", F.col("dst").alias("node"))
-        step = step.where("start <> node").distinct()
-        fresh = step.join(visited, ["start", "node"], "left_anti").withColumn("depth", F.lit(depth))
-        frontier = materialize(fresh, "reach")
-        visited = visited.unionByName(frontier)
-        if depth % _COMPACT_EVERY == 0:
-            visited = materialize(visited, "visited")
-    return visited
+    known = links.select(F.explode(F.array("src", "dst")).alias("start")) if starts is None else starts
+    layers = [(0, materialize(known.where("start IS NOT NULL").distinct().select("start", F.col("start").alias("node"), F.lit(0).alias("depth")), "reach"))]
+    most = GROWTH * links.count()
+    jumps, length, depth = links, 1, 1  # all nodes nearer than ``depth`` are known
+    while max_depth is None or depth <= max_depth:
+        recent = reduce(DataFrame.unionByName, [df for last, df in layers if last >= depth - length])
+        recent = recent.where(F.col("depth") >= depth - length)
+        step = recent.join(jumps, recent.node == jumps.src).groupBy("start", F.col("dst").alias("node"))
+        step = step.agg((F.min("depth") + length).cast("int").alias("depth"))
+        visited = reduce(DataFrame.unionByName, [df for _, df in layers])
+        fresh = materialize(step.join(visited, ["start", "node"], "left_anti"), "reach")
+        if fresh.isEmpty():
+            break
+        depth += length
+        layers.append((depth - 1, fresh))
+        if depth >= max(2 * length, STEPS) and (max_depth is None or depth <= max_depth):
+            two = _doubled(jumps, most)
+            if two is None:
+                most = 0
+            else:
+                jumps, length = two, 2 * length
+        if len(layers) >= _COMPACT_EVERY and length < depth // 2:
+            old = [df for last, df in layers if last < depth - length]
+            if len(old) > 1:
+                rest = [(last, df) for last, df in layers if last >= depth - length]
+                layers = [(depth - length - 1, materialize(reduce(DataFrame.unionByName, old), "visited")), *rest]
+    found = reduce(DataFrame.unionByName, [df for _, df in layers]).where("depth > 0")
+    return found if max_depth is None else found.where(F.col("depth") <= max_depth)
 
 
 def closure(
@@ -54,8 +93,8 @@ def closure(
     Without ``nodes`` all nodes are starts, and then ``max_depth`` must bound the pairs, whose number would
     otherwise be that of all ancestors of all nodes.
 
-    Breadth-first by joins: each round extends only the pairs found in the last one and drops pairs
-    already known, so cycles end. Rounds are written to the shared folder, which cuts the lineage.
+    Each round extends the pairs found last and drops pairs already known, so cycles end; see :func:`_reach` for how
+    long paths are cut short. Rounds are written to the shared folder, which cuts the lineage.
     """
     if direction not in ("both", "upstream", "downstream"):
         raise InvalidSpec(f"direction {direction!r}")

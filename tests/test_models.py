@@ -125,3 +125,42 @@ def test_neighbors(spark):
     assert rows(edges.neighbors(graph)) == [("c", "a", 2), ("c", "b", 2), ("d", "c", 1)]
     assert rows(edges.neighbors(graph, "d")) == [("d", "c", 1)]
     assert rows(edges.neighbors(graph, "zz")) == []
+
+
+def _distances(pairs, start):
+    found, frontier, depth = {start: 0}, {start}, 0
+    while frontier:
+        depth += 1
+        frontier = {b for a, b in pairs if a in frontier and b not in found}
+        found |= {n: depth for n in frontier}
+    return {n: d for n, d in found.items() if d}
+
+
+def test_closure_of_long_paths_and_cycles(spark, monkeypatch):
+    rounds = []
+    written = edges.materialize
+    monkeypatch.setattr(edges, "materialize", lambda df, label: (rounds.append(label), written(df, label))[1])
+    chain = spark.range(10_000).selectExpr("string(id) AS src", "string(id + 1) AS dst")
+    got = edges.closure(chain, ["0"], "downstream")
+    assert got.count() == 10_000 and got.where("depth <> int(related)").isEmpty()
+    assert rounds.count("reach") <= 20
+    ring = chain.unionByName(spark.createDataFrame([("10000", "0")], "src string, dst string"))
+    assert edges.closure(ring, ["7"], "upstream").agg(F.max("depth")).first()[0] == 10_000
+
+
+def test_closure_distances_in_bushy_graphs(spark):
+    import random
+
+    for seed, (n, m) in enumerate([(40, 60), (30, 200), (60, 62)]):
+        rnd = random.Random(seed)
+        pairs = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(m)] + [(100 + i, 101 + i) for i in range(30)] + [(0, 100)]
+        frame = spark.createDataFrame([(str(a), str(b)) for a, b in pairs], "src string, dst string")
+        real = [(a, b) for a, b in pairs if a != b]
+        for start in (0, 105)[seed % 2 :][:1]:
+            got = {int(r.related): r.depth for r in edges.closure(frame, [str(start)], "downstream").collect()}
+            assert got == _distances(real, start)
+            near = {int(r.related): r.depth for r in edges.closure(frame, [str(start)], "downstream", 7).collect()}
+            assert near == {k: d for k, d in got.items() if d <= 7}
+            back = {int(r.related): r.depth for r in edges.closure(frame, [str(start)], "upstream").collect()}
+            assert back == _distances([(b, a) for a, b in real], start)
+
