@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.operators import checks, diff
+from tablekit.operators import checks, diff, incremental
 from tablekit.operators.checks import Check
 from tablekit.session import scratch_path
 from tablekit.suite.registry import case, read
@@ -462,3 +462,39 @@ def table_diff_keys(spark: SparkSession, sf: str) -> DataFrame:
     found = diff.diff_keys(orders, spark.read.parquet(path), ["o_orderkey"])
     return found.withColumn("columns", F.concat_ws(",", "columns"))
 
+
+@case(
+    "verify_incremental",
+    """
+    SELECT check_name, CAST(metric AS DOUBLE) AS metric, passed FROM (
+      SELECT 'rows' AS check_name, count(*) AS metric, count(*) > 0 AS passed FROM events
+      UNION ALL SELECT 'user known', count(*) - count(user_id), count(*) = count(user_id) FROM events
+      UNION ALL SELECT 'value below 200', count(*) FILTER (WHERE NOT coalesce(value < 200, false)),
+        count(*) FILTER (WHERE NOT coalesce(value < 200, false)) = 0 FROM events
+      UNION ALL SELECT 'event is unique', count(event_id) - count(DISTINCT event_id), count(event_id) = count(DISTINCT event_id) FROM events
+      UNION ALL SELECT 'user and type once', count(*) - count(DISTINCT (user_id, event_type)), count(*) = count(DISTINCT (user_id, event_type))
+        FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL)
+    """,
+)
+def verify_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """A contract on a table that grows by days: each run reads the new days, and one that was loaded again."""
+    wanted = [
+        Check("rows", "row_count", operator="must_be_greater_than"),
+        Check("user known", "missing_count", ("user_id",)),
+        Check("value below 200", "audit", expr="value < 200"),
+        Check("event is unique", "duplicate_count", ("event_id",)),
+        Check("user and type once", "duplicate_count", ("user_id", "event_type")),
+    ]
+    path = scratch_path(spark, "days")
+    states = incremental.States(spark, scratch_path(spark, "states"))
+    events = read(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    day = F.dayofmonth("ts")
+    # At first the fifth has half of its rows; later days come in, then the fifth as a whole.
+    first = events.where((day <= 20) & ((day != 5) | (F.hour("ts") < 12)))
+    for batch, again in ((first, ()), (events.where(day > 20), ()), (events.where(day == 5), ("2024-01-05",))):
+        write = batch.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write.partitionBy("day").parquet(path)
+        stored = spark.read.schema(events.schema).parquet(path)
+        results = incremental.verify(stored, wanted, "day", states, again=again)
+    return results.select("check_name", "metric", "passed")
+

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekit.errors import InvalidSpec, InvalidVariables, SchemaConflict
-from tablekit.operators import checks, diff
+from tablekit.operators import checks, diff, incremental
 from tablekit.operators.checks import Check
 from tests.conftest import rows
 
@@ -216,3 +216,44 @@ def test_names_with_quotes_and_commas(spark):
     plain = checks.spec_frame(spark, [Check("k", "duplicate_count", ("c",))]).drop("columns")
     assert checks.checks_from(plain)[0].columns == ("c",)
 
+
+def test_incremental_equals_the_whole_and_reads_new_partitions_only(spark, tmp_path, monkeypatch):
+    schema = "k int, v string, day string"
+    wanted = [
+        Check("rows", "row_count", operator="must_be_greater_than"), Check("v", "missing_count", ("v",), missing_values=("none",)),
+        Check("k", "duplicate_count", ("k",)), Check("kv", "duplicate_count", ("k", "v")),
+        Check("about", "duplicate_count", ("k",), approx=True), Check("low", "audit", expr="k < :top"),
+    ]
+    path, states = str(tmp_path / "t"), incremental.States(spark, str(tmp_path / "states"))
+    asked = []
+    select = incremental._select
+    monkeypatch.setattr(incremental, "_select", lambda df, *a: (asked.append(df._jdf.queryExecution().executedPlan().toString()), select(df, *a))[1])
+
+    def store(rows_, *days):
+        df = spark.createDataFrame(rows_, schema)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
+        one = outcome(incremental.verify(stored, wanted, "day", states, variables={"top": 5}, again=days))
+        assert one == outcome(checks.verify(stored, wanted, variables={"top": 5}))
+        return one
+
+    store([(1, "a", "d1"), (1, "b", "d1"), (None, None, "d1")])
+    store([(1, "a", "d2"), (9, "none", "d2"), (2, None, None)])
+    assert "PartitionFilters: [((day#" in asked[-1] and " = d2)" in asked[-1] and "d1" not in asked[-1]
+    before = len(asked)
+    store([(1, "a", "d2"), (9, "none", "d2")])
+    assert len(asked) == before
+    final = store([(7, "z", "d1"), (7, "z", "d1")], "d1")
+    assert final["k"] == (1, False) and final["rows"][0] == 5 and final["kv"] == (1, False)
+    with pytest.raises(InvalidSpec):
+        incremental.verify(spark.range(1), [wanted[0], wanted[0]], "id", states)
+
+
+def test_incremental_forgets_a_dropped_partition(spark, tmp_path):
+    wanted = [Check("rows", "row_count"), Check("k", "duplicate_count", ("k",))]
+    states = incremental.States(spark, str(tmp_path / "states"))
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b")], "k int, part string")
+    assert outcome(incremental.verify(df, wanted, "part", states)) == {"rows": (3, False), "k": (1, False)}
+    left = df.where("part = 'a'")
+    assert outcome(incremental.verify(left, wanted, "part", states, again=["b"])) == {"rows": (1, False), "k": (0, True)}
+
