@@ -20,6 +20,8 @@ LEAST_DOCS = 3
 #: Text bytes of a bucket of documents, and of the documents whose keys a shard holds, on average.
 BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
+#: Partitions of the shuffled documents at most, for each core of the session; a partition may hold many buckets.
+PER_CORE = 16
 _SPACE = b" \t\n\x0b\x0c\r"
 _SLOTS = 4
 
@@ -186,13 +188,18 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def partitions(buckets: int, cores: int) -> int:
+    """Into how many partitions buckets are dealt: one each while they are few, else a number for each core."""
+    return min(buckets, PER_CORE * max(1, cores))
+
+
 def _arranged(docs: DataFrame, id_col: str, text_col: str, buckets: int, keep: tuple = ()) -> DataFrame:
     """Documents dealt to buckets by a hash of id and text, whatever lines they hold."""
     key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     spread = F.pmod(F.xxhash64(key, text), F.lit(buckets)).cast("int")
     extra = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     rows = docs.select(spread.alias("bucket"), key.alias("id"), text.cast("binary").alias("text"), *extra)
-    return rows.repartition(buckets, "bucket")
+    return rows.repartition(partitions(buckets, docs.sparkSession.sparkContext.defaultParallelism), "bucket")
 
 
 def _reduced(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -76,7 +76,10 @@ def test_exact(docs, monkeypatch):
     assert data.ordered(got) == data.ordered(want)
 
 
-def test_lines(docs):
+@pytest.mark.parametrize("per_core", [16, 1])
+def test_lines(docs, per_core, monkeypatch):
+    monkeypatch.setattr(lines, "BUCKET_BYTES", 4096)
+    monkeypatch.setattr(lines, "PER_CORE", per_core)
     rows = [(i, (t or "").split("\n")) for i, t in ROWS]
     key = lambda line: line.strip(" \t\n\x0b\x0c\r").encode().lower().decode()
     holders = defaultdict(list)

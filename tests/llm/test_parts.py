@@ -308,3 +308,10 @@ def test_interval_join_of_windows():
             if len(meets) >= passages.ENOUGH:
                 want.add((int(one[2]), int(one[5])))
         assert set(passages.enough(rows)) == want
+
+
+def test_line_buckets_share_a_bounded_number_of_partitions():
+    buckets = -(-(1 << 40) // lines.BUCKET_BYTES)
+    assert buckets == 262_144 and lines.partitions(buckets, 4000) == 64_000 and lines.partitions(buckets, 6) == 96
+    assert lines.partitions(5, 8) == 5 and lines.partitions(1, 0) == 1
+
