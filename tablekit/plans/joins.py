@@ -53,10 +53,15 @@ def asof_join(
     )
 
 
-#: Points of a cell that are joined in one piece; the cell of a frequent value is dealt to several.
-SPLIT_ROWS = 1_000_000
-#: Levels of cells at most: 2 ** MOST_LEVELS cells on the lowest.
-MOST_LEVELS = 40
+#: Points of a cell that are joined in one piece. Nearly all of them match the cell's intervals, so pieces cost one copy of an
+#: interval for so many pairs.
+SPLIT_ROWS = 20_000
+#: Cells of a level that make one of the next, as a power of two. More means fewer levels, on which points are
+#: listed, and more cells for an interval.
+FAN_BITS = 2
+FAN = 1 << FAN_BITS
+#: Levels of cells at most: FAN ** MOST_LEVELS cells on the lowest.
+MOST_LEVELS = 20
 
 
 def _number(column: Column, kind: DataType) -> Column:
@@ -74,22 +79,23 @@ def _number(column: Column, kind: DataType) -> Column:
 
 
 def cover(first: Column, last: Column, levels: int) -> Column:
-    """The fewest dyadic cells that make up the cells ``first`` to ``last`` of the lowest level.
+    """The fewest cells that make up the cells ``first`` to ``last`` of the lowest level.
 
-    Structs of ``level`` and ``node``, where node n of a level holds the nodes 2n and 2n + 1 of the level below; at
-    most two on each level.
+    Structs of ``level`` and ``node``, where a node of a level holds FAN nodes of the level below; at most 2 FAN - 2 on
+    each level: those before the first whole parent and after the last.
     """
 
+    def run(level: Column, low: Column, end: Column) -> Column:
+        nodes = F.when(low < end, F.sequence(low, end - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(nodes, lambda n: F.struct(level.alias("level"), n.alias("node")))
+
     def ends(level: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
-        low = F.call_function("shiftright", first + size - 1, level)
-        high = F.call_function("shiftright", last + 1, level)
-        here = F.struct(level.alias("level"), low.alias("node"))
-        there = F.struct(level.alias("level"), (high - 1).alias("node"))
-        return F.when(
-            low < high,
-            F.array_compact(F.array(F.when(low % 2 == 1, here), F.when(high % 2 == 1, there))),
-        ).otherwise(F.array().cast("array<struct<level:int,node:bigint>>"))
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level * FAN_BITS)
+        low = F.call_function("shiftright", first + size - 1, level * FAN_BITS)
+        high = F.call_function("shiftright", last + 1, level * FAN_BITS)
+        whole = F.call_function("shiftleft", F.shiftright(low + FAN - 1, FAN_BITS), F.lit(FAN_BITS))
+        after = F.call_function("shiftleft", F.shiftright(high, FAN_BITS), F.lit(FAN_BITS))
+        return F.concat(run(level, low, F.least(whole, high)), run(level, F.greatest(after, whole), high))
 
     return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), ends))
 
@@ -105,10 +111,10 @@ def range_join(
 ) -> DataFrame:
     """Pairs with ``low <= point <= high`` (and equal ``keys``), planned as an equi-join, for intervals of any length.
 
-    The range of the points is cut into as many cells as there are points, rounded up to a power of two, and cells
-    are paired into larger ones level by level. An interval is listed under the few cells that make it up, at most
-    two on each level, a point under its cell on each level that any interval uses; so no pair meets twice, and long
-    intervals cost no more than short ones. A cell with more than ``split_rows`` points of a key is dealt to several
+    The range of the points is cut into as many cells as there are points, rounded up to a power of FAN, and every
+    FAN of them make a larger one, level by level. An interval is listed under the few cells that make it up, a point
+    under its cell on each level that any interval uses; so no pair meets twice, and long intervals cost no more than
+    short ones. A cell with more than ``split_rows`` points of a key is dealt to several
     pieces by a hash of the point's row; its intervals go to each. (Rows equal in all columns stay together: count
     them first.) Points and ends may be numbers, dates or timestamps; NULL and NaN match nothing.
     """
@@ -116,13 +122,14 @@ def range_join(
     x = _number(F.col(point), kinds[point])
     finite = F.when(F.abs(x) < float("inf"), x)
     facts = points.agg(F.count(x).alias("n"), F.min(x).alias("least"), F.max(x).alias("most"), F.min(finite).alias("low"), F.max(finite).alias("high")).first()
-    levels = min(max(facts.n, 1).bit_length(), MOST_LEVELS)
+    levels = min(-(-max(facts.n, 1).bit_length() // FAN_BITS), MOST_LEVELS)
+    cells = 1 << levels * FAN_BITS
     bottom, top = facts.low or 0.0, facts.high or 0.0
 
     def cell(value: Column) -> Column:
         inside = F.least(F.greatest(value, F.lit(bottom)), F.lit(top))
         share = (inside - F.lit(bottom)) / F.lit(top - bottom) if top > bottom else F.lit(0.0)
-        return F.least(F.floor(share * F.lit(float(1 << levels))), F.lit((1 << levels) - 1)).cast("bigint")
+        return F.least(F.floor(share * F.lit(float(cells))), F.lit(cells - 1)).cast("bigint")
 
     ends = [_number(F.col(c), kinds[c]) for c in (low, high)]
     # An end that is NaN or NULL matches nothing; an interval beyond all points is left out.
@@ -130,7 +137,7 @@ def range_join(
     listed = intervals.where(meets).withColumn("__at", F.explode(cover(cell(ends[0]), cell(ends[1]), levels)))
     used = sorted(r[0] for r in listed.select("__at.level").distinct().collect())  # at most MOST_LEVELS numbers
     placed = points.where(x.isNotNull()).withColumn("__cell", cell(x))
-    at = [F.struct(F.lit(k).alias("level"), F.shiftright(F.col("__cell"), k).alias("node")) for k in used]
+    at = [F.struct(F.lit(k).alias("level"), F.shiftright(F.col("__cell"), k * FAN_BITS).alias("node")) for k in used]
     nowhere = F.array().cast("array<struct<level:int,node:bigint>>")
 
     def spread(df: DataFrame) -> DataFrame:

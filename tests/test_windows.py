@@ -182,10 +182,11 @@ def test_range_join_over_times(spark):
 
 def test_cover_is_exact_and_small(spark):
     cells = spark.range(64).withColumnRenamed("id", "a").crossJoin(spark.range(64).withColumnRenamed("id", "b")).where("a <= b")
-    covered = cells.withColumn("c", joins.cover(F.col("a"), F.col("b"), 6))
-    assert covered.agg(F.max(F.size("c"))).first()[0] <= 12
+    covered = cells.withColumn("c", joins.cover(F.col("a"), F.col("b"), 3))
+    assert covered.agg(F.max(F.size("c"))).first()[0] <= 6 * 3
     for r in covered.collect():
-        leaves = [leaf for n in r.c for leaf in range(n.node << n.level, (n.node + 1) << n.level)]
+        sizes = [(n.node, joins.FAN**n.level) for n in r.c]
+        leaves = [leaf for node, size in sizes for leaf in range(node * size, (node + 1) * size)]
         assert sorted(leaves) == list(range(r.a, r.b + 1))
 
 
