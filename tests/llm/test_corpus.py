@@ -24,12 +24,14 @@ CONTRACTS = {
     "op8_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
     "op9_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op12_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op13_merkle": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
 }
 
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(CONTRACTS))
