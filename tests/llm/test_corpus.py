@@ -105,3 +105,11 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     assert {t for _, t in left} >= {one, two, "only here u v w x y z", "and here u v w x z y", "", None}
     assert sorted(i for i, _ in left if i is not None) == [1, 2, 7, 8]
     assert len(left) == 7
+
+
+def test_filter_audit_agrees_with_sql(spark):
+    made = QUERIES["op11_filter_audit"](spark, SF)
+    relation = connect(SF).sql(ORACLES["op11_filter_audit"])
+    assert made.columns == relation.columns and made.count() % 600 == 0
+    assert _rows(made.columns, made.collect()) == _rows(relation.columns, relation.fetchall())
+
