@@ -70,7 +70,15 @@ def upsert(
     def apply(batch: DataFrame, batch_id: int) -> None:
         loads.merge(batch.sparkSession, batch, table, keys, order_by, path, partition_by)
 
-    return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
+    query = _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
+    return _refreshed(query, stream.sparkSession, table, available_now)
+
+
+def _refreshed(query: StreamingQuery, session: SparkSession, table: str, ended: bool) -> StreamingQuery:
+    """Batches run in a session of their own: the caller's forgets which files of the table it knew."""
+    if ended and session.catalog.tableExists(table):
+        session.catalog.refreshTable(table)
+    return query
 
 
 def daily(
@@ -123,7 +131,8 @@ def closed(
             return
         loads.merge(session, batch, table, ["day", *keys], path=path, partition_by=["day"])
 
-    return _start(aggregate.writeStream.outputMode("append").foreachBatch(apply), checkpoint, available_now)
+    query = _start(aggregate.writeStream.outputMode("append").foreachBatch(apply), checkpoint, available_now)
+    return _refreshed(query, aggregate.sparkSession, table, available_now)
 
 
 class ChecksFailed(Exception):
