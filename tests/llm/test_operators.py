@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -58,6 +59,37 @@ def test_ngram_join(docs, k, percent, monkeypatch):
     assert data.ordered(tuple(r) for r in got.collect()) == data.ordered(want)
 
 
+def test_ngram_join_of_near_copies(spark, monkeypatch):
+    """Clusters of copies whose similarity lies about the threshold: most pairs do not link, and few are proposed."""
+    rnd = random.Random(5)
+    monkeypatch.setattr(ngram_join, "MEMBERS", 8)
+    rows = []
+    for cluster in range(3):
+        base = [f"c{cluster}w{rnd.randrange(300)}" for _ in range(150)]
+        for _ in range(90):
+            edited = list(base)
+            for _ in range(rnd.randrange(6)):
+                edited[rnd.randrange(len(edited))] = f"e{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(edited)))
+    proposed = []
+    put = ngram_join.Shelf.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        if name == "pairs":
+            proposed.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join.Shelf, "put", counted)
+    sets = [data.shingle_set(t, 3) for _, t in rows]
+    links = [(i, j) for i, a in enumerate(sets) for j in range(i) if 100 * len(a & (b := sets[j])) >= 90 * len(a | b)]
+    expected = data.components(len(rows), links)
+    got = ngram_join.join(data.table(spark, rows, 5), k=3, percent=90).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(expected))
+    assert 3 < len(set(expected)) < len(rows)
+    assert proposed[0] < 3 * 90 * 90 / 4
+
+
 def test_exact(docs, monkeypatch):
     want = []
     groups = defaultdict(list)
