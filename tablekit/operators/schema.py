@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
@@ -15,8 +15,10 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    NumericType,
     ShortType,
     StringType,
+    StructField,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -189,8 +191,12 @@ def evolve_union(target: DataFrame, batch: DataFrame, widen: bool = False) -> Da
 
 def bucket_count(*frames: DataFrame, target: int = 128 << 20) -> int:
     """Buckets of about ``target`` bytes for the largest of some tables, by the planner's sizes."""
-    size = max(int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames)
-    return max(1, -(-size // target))
+    return max(1, -(-max(size_of(f) for f in frames) // max(target, 1)))
+
+
+def size_of(df: DataFrame) -> int:
+    """Bytes of a frame as the planner estimates them."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def write_layout(
@@ -231,3 +237,57 @@ def write_layout(
         if sort_by:
             writer = writer.sortBy(*sort_by)
     writer.saveAsTable(table)
+
+
+def curve_place(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """Where a row lies on a Z-order curve over the quantile ranks of some columns.
+
+    Each column is cut at 2**``bits`` - 1 quantiles, found in one aggregate over the frame, so skewed values fill the
+    curve evenly; bits of the ranks take turns. Numbers, dates and timestamps only. NULL ranks lowest, NaN highest.
+    """
+    if not columns or not 1 <= bits * len(columns) <= 62:
+        raise InvalidSpec(f"a curve needs columns, and at most 62 bits for all of them: {list(columns)}")
+    numbers = [_number(df.schema[c]) for c in columns]
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    cuts = df.agg(*(F.percentile_approx(n, shares, 10_000).alias(f"q{k}") for k, n in enumerate(numbers))).first()
+    place = F.lit(0).cast("long")
+    for k, number in enumerate(numbers):
+        rank = F.lit(0)
+        for cut in cuts[k] or []:
+            rank = rank + F.coalesce((number >= F.lit(cut)).cast("int"), F.lit(0))
+        rank = rank.cast("long")
+        for bit in range(bits):
+            shifted = F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(columns) + len(columns) - 1 - k)
+            place = place + shifted
+    return place
+
+
+def _number(field: StructField) -> Column:
+    """The column as a double in the same order."""
+    column, kind = F.col(_quoted(field.name)), field.dataType
+    if isinstance(kind, DateType):
+        column = F.unix_date(column)
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        column = F.unix_micros(column.cast("timestamp"))
+    elif not isinstance(kind, NumericType):
+        raise InvalidSpec(f"a curve cannot order {field.name} of type {kind.simpleString()}")
+    return column.cast("double")
+
+
+def write_curve(
+    df: DataFrame, table: str, columns: Sequence[str], path: str | None = None, target: int = 128 << 20
+) -> None:
+    """Write the rows as files of about ``target`` bytes that follow a curve over several columns.
+
+    Every file then has narrow ranges of all of these columns in its statistics, and a filter on any of them skips
+    files. The number of files comes from the planner's size of the frame, so small files are packed and large ones
+    divided; rows at one place of the curve are spread over several files by a hash of the row if they are many.
+    """
+    plain = [_quoted(f.name) for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    files = bucket_count(df, target=target)
+    place = curve_place(df, columns)
+    placed = df.repartitionByRange(files, place, F.xxhash64(*plain))
+    writer = placed.write.format("parquet").mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)

@@ -477,6 +477,49 @@ def layout_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(table).where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
 
 
+@case(
+    "layout_curve",
+    """
+    WITH b AS (
+        SELECT min(l_partkey) + (max(l_partkey) - min(l_partkey)) * 0.3::DOUBLE AS p0,
+               min(l_partkey) + (max(l_partkey) - min(l_partkey)) * 0.4::DOUBLE AS p1,
+               min(l_extendedprice) + (max(l_extendedprice) - min(l_extendedprice)) * 0.3::DOUBLE AS e0,
+               min(l_extendedprice) + (max(l_extendedprice) - min(l_extendedprice)) * 0.4::DOUBLE AS e1
+        FROM lineitem
+    )
+    SELECT l_returnflag, count(*) AS lines, sum(l_partkey)::BIGINT AS parts, true AS few_files
+    FROM lineitem, b WHERE l_partkey BETWEEN p0 AND p1 AND l_extendedprice BETWEEN e0 AND e1
+    GROUP BY l_returnflag
+    """,
+)
+def layout_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines along a curve over part and price. A box in both is read, and ``few_files`` says that the ranges of less
+    than a quarter of the files meet it."""
+    table = scratch_table(spark, "lines")
+    lines = read(spark, sf, "lineitem").select("l_partkey", "l_extendedprice", "l_returnflag")
+    schema.write_curve(
+        lines, table, ["l_partkey", "l_extendedprice"], scratch_path(spark, "lines"), schema.size_of(lines) // 64
+    )
+    written = spark.table(table)
+    share = "min({0}) + (max({0}) - min({0})) * 0.{1}D AS {2}"
+    p0, p1, e0, e1 = lines.selectExpr(
+        share.format("l_partkey", 3, "p0"), share.format("l_partkey", 4, "p1"),
+        share.format("l_extendedprice", 3, "e0"), share.format("l_extendedprice", 4, "e1"),
+    ).first()
+    spans = written.groupBy(F.input_file_name().alias("file")).agg(
+        F.min("l_partkey").alias("p_low"), F.max("l_partkey").alias("p_high"),
+        F.min("l_extendedprice").alias("e_low"), F.max("l_extendedprice").alias("e_high"),
+    )
+    meets = (F.col("p_low") <= p1) & (F.col("p_high") >= p0)
+    meets &= (F.col("e_low") <= e1) & (F.col("e_high") >= e0)
+    few = spans.agg((4 * F.count_if(meets) < F.count(F.lit(1))).alias("few_files"))
+    inside = written.where(
+        F.col("l_partkey").between(p0, p1) & F.col("l_extendedprice").between(e0, e1)
+    )
+    found = inside.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_partkey").alias("parts"))
+    return found.withColumn("few_files", F.lit(few.first().few_files))
+
+
 @case(
     "udf_scalar",
     "SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice * (1 - l_discount) AS net FROM lineitem",

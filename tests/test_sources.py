@@ -246,3 +246,23 @@ def test_functions(spark):
     udf.register_scalar(spark, "shout", shout, "string")
     udf.register_sql(spark, "twice", "x INT", "INT", "x * 2")
     assert spark.sql("SELECT shout('a') AS s, twice(4) AS t").first() == ("A!", 8)
+
+
+def test_curve_layout_keeps_rows_and_narrows_files(spark, table, tmp_path):
+    df = spark.range(4000).selectExpr(
+        "IF(id % 50 = 0, NULL, pmod(hash(id), 1000)) AS a", "IF(id % 3 = 0, 7.0D, rand(3) * 100) AS b",
+        "IF(id % 40 = 0, double('NaN'), double(id)) AS c", "date_add(DATE '2024-01-01', CAST(id % 90 AS INT)) AS d", "'x' AS s",
+    ).cache()
+    schema.write_curve(df, table, ["a", "b"], str(tmp_path / table), schema.size_of(df) // 32)
+    written = spark.table(table)
+    assert written.exceptAll(df).count() == 0 and df.exceptAll(written).count() == 0
+    spans = written.groupBy(F.input_file_name()).agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.count("*").alias("n"))
+    spans = spans.collect()
+    assert len(spans) > 16 and max(r.n for r in spans) < 4 * 4000 / len(spans)
+    assert sum(r.lo is not None and r.lo <= 510 and r.hi >= 490 for r in spans) < len(spans) / 2
+    place = schema.curve_place(df, ["c", "d"])
+    assert df.select(place.alias("p")).where("p IS NULL OR p < 0 OR p >= 4096").count() == 0
+    assert df.limit(0).select(schema.curve_place(df.limit(0), ["a"])).count() == 0
+    for wrong in ([], ["s"], ["a"] * 11):
+        with pytest.raises(InvalidSpec):
+            schema.curve_place(df, wrong)
