@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -91,19 +93,31 @@ def scan_glob(
     source_column: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """All files below ``directory`` whose name matches ``pattern``, optionally with their path."""
-    df = scan(
-        spark,
-        directory,
-        format_of(pattern, fmt),
-        schema,
-        pathGlobFilter=pattern,
-        recursiveFileLookup=str(recursive).lower(),
-        **options,
-    )
+    """All files in ``directory`` (``recursive``: below it) whose name matches ``pattern``, optionally with their path.
+
+    A folder in ``directory`` whose name matches is a table of many files, as Spark writes it: all of them are read.
+    ``recursive`` goes by the names of files only.
+    """
+    name = format_of(pattern, fmt)
+    tables = [] if recursive else _matching(spark, directory, pattern)
+    if tables:
+        df = scan(spark, tables, name, schema, **options)
+    else:
+        lookup = str(recursive).lower()
+        df = scan(spark, directory, name, schema, pathGlobFilter=pattern, recursiveFileLookup=lookup, **options)
     return df.withColumn(source_column, F.col("_metadata.file_path")) if source_column else df
 
 
+def _matching(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Files and folders in a directory whose name matches; none if no folder does."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory, pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    shown = [status for status in found if not status.getPath().getName().startswith(("_", "."))]
+    if not any(status.isDirectory() for status in shown):
+        return []
+    return [re.sub(r"([\\{}\[\]*?])", r"\\\1", status.getPath().toString()) for status in shown]
+
+
 def remote_path(url: str) -> str:
     """Map an object-store URL to the scheme Spark's connectors use; other schemes are an error."""
     scheme, sep, rest = url.partition("://")

@@ -59,6 +59,21 @@ def test_glob_and_listing(spark, tmp_path):
     assert [r.size for r in listed.collect()] == [4, 4] and "content" not in listed.columns
 
 
+def test_a_glob_reads_tables_that_are_folders(spark, tmp_path):
+    spark.range(10).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(10, 15).coalesce(1).write.parquet(str(tmp_path / "other.parquet"))
+    spark.range(20, 22).coalesce(1).write.parquet(str(tmp_path / "_left.parquet"))
+    one = files.scan_glob(spark, str(tmp_path), "documents.parquet", source_column="f")
+    assert rows(one, "id") == [(i,) for i in range(10)]
+    assert one.where(F.col("f").contains("/documents.parquet/part-")).count() == 10
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "other.parquet").glob("part-*.parquet")).rename(tmp_path / "one" / "t.parquet")
+    spark.range(30, 32).write.parquet(str(tmp_path / "one" / "u[1].parquet"))
+    both = files.scan_glob(spark, str(tmp_path / "one"), "*.parquet")
+    assert sorted(r.id for r in both.collect()) == [10, 11, 12, 13, 14, 30, 31]
+
+
+
 def test_ragged_and_broken_records(spark):
     text = spark.createDataFrame([('{"a": 1}',), ('{"b": "x", "c": 9}',), ("{oops",), (None,)], "r string")
     df = records.parse_records(text, "r", "a int, b string", bad_column="bad")
