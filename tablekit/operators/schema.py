@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
     ByteType,
     DataType,
     DateType,
@@ -31,6 +33,8 @@ _INTEGERS = {ByteType(): 3, ShortType(): 5, IntegerType(): 10, LongType(): 19}
 _FLOATS = (FloatType(), DoubleType())
 # Fixed value: whole numbers up to this are exact as doubles.
 _EXACT = 1 << 53
+# Fixed value: Spark writes no table with more buckets, unless it is configured to.
+_MOST_BUCKETS = 100_000
 
 
 def _quoted(name: str) -> str:
@@ -189,9 +193,27 @@ def evolve_union(target: DataFrame, batch: DataFrame, widen: bool = False) -> Da
     return a.unionByName(b)
 
 
-def bucket_count(*frames: DataFrame, target: int = 128 << 20) -> int:
-    """Buckets of about ``target`` bytes for the largest of some tables, by the planner's sizes."""
-    return max(1, -(-max(size_of(f) for f in frames) // max(target, 1)))
+def bucket_count(*frames: DataFrame, target: int = 64 << 20) -> int:
+    """Buckets of about ``target`` bytes for the largest of some tables, by what their rows take in a task that sorts them.
+
+    The planner's sizes are those of compressed files, of which a bucket may hold many times as much. So rows are
+    counted, and the lengths of what has no fixed width are added up, in one aggregate over each frame.
+    """
+    return min(max(1, -(-max(_sorted_size(f) for f in frames) // max(target, 1))), _MOST_BUCKETS)
+
+
+def _sorted_size(df: DataFrame) -> int:
+    """Bytes of all rows as Spark sorts them: a pointer and prefix, 8 bytes for each field, and text and nested values."""
+    fixed = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+    loose = [f for f in df.schema if not isinstance(f.dataType, fixed)]
+    length = F.lit(0).cast("long")
+    for field in loose:
+        value = F.col(_quoted(field.name))
+        if not isinstance(field.dataType, (StringType, BinaryType)):
+            value = value.cast("string")
+        length = length + F.coalesce(F.octet_length(value), F.lit(0))
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("loose")).first()
+    return found["rows"] * (24 + 8 * len(df.columns)) + found["loose"]
 
 
 def size_of(df: DataFrame) -> int:
@@ -284,7 +306,7 @@ def write_curve(
     divided; rows at one place of the curve are spread over several files by a hash of the row if they are many.
     """
     plain = [_quoted(f.name) for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-    files = bucket_count(df, target=target)
+    files = max(1, -(-size_of(df) // max(target, 1)))
     place = curve_place(df, columns)
     placed = df.repartitionByRange(files, place, F.xxhash64(*plain))
     writer = placed.write.format("parquet").mode("overwrite")

@@ -248,6 +248,16 @@ def test_bucketed_tables_join_without_shuffle(spark, table, tmp_path):
     assert "Exchange" not in plan and joined.count() == 200
 
 
+def test_buckets_are_counted_by_rows_in_memory(spark, tmp_path):
+    spark.range(20_000).select("id", F.lit("x" * 200).alias("s")).coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))  # alike rows are small in files
+    assert schema.bucket_count(df, df.limit(5), target=1 << 20) == 5
+    assert schema.bucket_count(df.select("id"), target=1 << 20) == 1
+    assert schema.bucket_count(df.limit(0)) == 1
+    odd = spark.sql("SELECT map('a', 1) AS m, CAST(NULL AS STRING) AS s, X'0102' AS b, array(1, NULL) AS a, true AS t, INTERVAL 1 DAY AS i")
+    assert schema.bucket_count(odd, target=80) == 2
+
+
 def test_range_layout_keeps_rows(spark, table, tmp_path):
     df = spark.range(1000).select(F.shuffle(F.array(F.col("id")))[0].alias("id"))
     schema.write_layout(df, table, str(tmp_path / table), range_by=["id"], sort_by=["id"])
