@@ -84,13 +84,21 @@ class PagedRecords(DataSource):
         return PagedStream(self.options)
 
 
+#: Tasks that read the pages behind cursors of one batch at most; longer ways are read in longer stretches.
+STRETCHES = 1000
+
+
 class Stretch(InputPartition):
-    """Records of one endpoint from ``start`` to before ``end``: places as in the offsets of :class:`PagedStream`."""
+    """Records of one endpoint from ``start`` to before ``end``: places as in the offsets of :class:`PagedStream`.
+
+    ``number`` is that of the first page, if pages are behind cursors.
+    """
 
-    def __init__(self, endpoint: dict, start: dict, end: dict):
+    def __init__(self, endpoint: dict, start: dict, end: dict, number: int = 0):
         self.endpoint = endpoint
         self.start = start
         self.end = end
+        self.number = number
 
 
 class PagedStream(DataSourceStreamReader):
@@ -99,7 +107,8 @@ class PagedStream(DataSourceStreamReader):
     Numbered pages (``{page}`` in the path) are looked for by doubling steps and halving, so the driver asks for few of
     them and keeps two numbers; tasks read ranges of pages. Pages linked by cursors (``{cursor}`` in the path, the
     next page's cursor in the field ``next``) can only be walked: the driver follows the links and keeps the last
-    cursor, one task reads the stretch. A page may grow until the next one appears: its new records come with the
+    cursor, and one of every ``pages_per_task`` (10) on the way, or of more pages if these are too many. From each a
+    task reads on to the next one. A page may grow until the next one appears: its new records come with the
     next batch. A numbered page without records counts as absent, unless the endpoint is ``sparse``.
     """
 
@@ -108,6 +117,7 @@ class PagedStream(DataSourceStreamReader):
         self.endpoints = json.loads(options["endpoints"])
         self.headers = json.loads(options.get("headers") or "{}")
         self.reached = json.loads(options.get("reached") or "{}")
+        self.walked = {}
 
     def _first(self, endpoint: dict) -> dict:
         return {"at": endpoint.get("cursor", "") if "{cursor}" in endpoint["path"] else 0, "records": 0}
@@ -139,15 +149,38 @@ class PagedStream(DataSourceStreamReader):
             return None
         return str(found) if found else None
 
+    def _walk(self, endpoint: dict, start: dict, stop: str | None = None) -> tuple[dict, list[tuple[int, str]]]:
+        """The last place behind cursors, no further than ``stop``, and numbers and cursors of pages on the way."""
+        at, size, number = start["at"], start["records"], 0
+        marks, step = [], int(endpoint.get("pages_per_task", 10))
+        while True:
+            if number % step == 0:
+                marks.append((number, at))
+                if len(marks) > STRETCHES:
+                    marks, step = marks[::2], step * 2
+            body = None if at == stop else self._page(endpoint, at)
+            if body is None:
+                break
+            following, size = self._next(endpoint, body), len(_records(endpoint, body))
+            if following is None:
+                break
+            at, size, number = following, 0, number + 1
+        return {"at": at, "records": size}, marks
+
+    def _stretches(self, endpoint: dict, first: dict, last: dict) -> list[Stretch]:
+        """The way from one place behind cursors to another; walked again if the batch began in another run."""
+        start, end, marks = self.walked.get(endpoint["name"], (None, None, []))
+        if (start, end) != (first["at"], last["at"]):
+            marks = self._walk(endpoint, first, last["at"])[1]
+        places = [first, *({"at": cursor, "records": 0} for _, cursor in marks[1:]), last]
+        return [Stretch(endpoint, places[k], places[k + 1], number) for k, (number, _) in enumerate(marks)]
+
     def _last(self, endpoint: dict, start: dict) -> dict:
         at, size = start["at"], start["records"]
         if isinstance(at, str):
-            while (body := self._page(endpoint, at)) is not None:
-                following, size = self._next(endpoint, body), len(_records(endpoint, body))
-                if following is None:
-                    break
-                at, size = following, 0
-            return {"at": at, "records": size}
+            last, marks = self._walk(endpoint, start)
+            self.walked[endpoint["name"]] = (at, last["at"], marks)
+            return last
         step = 1
         while self._there(endpoint, at + step):
             at, step = at + step, step * 2
@@ -170,7 +203,7 @@ class PagedStream(DataSourceStreamReader):
             if last is None or first == last:
                 continue
             if isinstance(last["at"], str):
-                found.append(Stretch(endpoint, first, last))
+                found.extend(self._stretches(endpoint, first, last))
                 continue
             pages, step = last["at"] + 1, int(endpoint.get("pages_per_task", 1))
             for page in range(first["at"], pages, step):
@@ -181,7 +214,7 @@ class PagedStream(DataSourceStreamReader):
     def read(self, partition):
         endpoint, at, skip = partition.endpoint, partition.start["at"], partition.start["records"]
         stop, size = partition.end["at"], partition.end["records"]
-        number = 0
+        number = partition.number
         while at is not None and (at != stop or size > skip):
             body = self._page(endpoint, at)
             if body is None:

@@ -122,19 +122,19 @@ def register_records(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(view)
 
 
-def _serve(orders: DataFrame, path: str) -> int:
+def _serve(orders: DataFrame, path: str, first: int = 0) -> int:
     """Write orders as pages ``<path>/<n>.json``, page n with the keys from n thousand on; returns the number of pages.
 
-    The pages are read as ``file:`` URLs, so the scratch folder must be mounted as a file system.
+    Pages before ``first`` are there already. The pages are read as ``file:`` URLs, so the scratch folder must be mounted as a file system.
     """
     folder = path.removeprefix("file:")
     os.makedirs(folder, exist_ok=True)
     last = orders.agg(F.max(F.floor(F.col("o_orderkey") / 1000))).first()[0]
     pages = 0 if last is None else last + 1
-    filled = orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("id")).agg(
+    filled = orders.where(F.col("o_orderkey") >= first * 1000).groupBy(F.floor(F.col("o_orderkey") / 1000).alias("id")).agg(
         F.collect_list(F.struct(*orders.columns)).alias("items")
     )
-    every = orders.sparkSession.range(pages).join(filled, "id", "left")
+    every = orders.sparkSession.range(first, max(first, pages)).join(filled, "id", "left")
     following = F.when(F.col("id") + 1 < pages, (F.col("id") + 1).cast("string"))
     body = F.to_json(F.struct(F.coalesce("items", F.array()).alias("items"), following.alias("next")))
 
@@ -173,8 +173,10 @@ def rest_incremental(spark: SparkSession, sf: str) -> DataFrame:
         {"name": "linked", "path": f"{folder}/{{cursor}}.json", "records": "items", "next": "next", "cursor": "0"},
     ]
     loaded = scratch_path(spark, "loaded")
+    pages = 0
     for share in (0.3, 0.3, 0.77, 1.0):
-        _serve(orders.where(F.col("o_orderkey") <= F.lit(int(most * share))), path)
+        # Of the pages that are there only the last one grows, and gets a link to the next.
+        pages = _serve(orders.where(F.col("o_orderkey") <= F.lit(int(most * share))), path, max(pages - 1, 0))
         stream = rest.stream_rest(spark, "file://", endpoints, checkpoint=checkpoint)
         ingest.ingest(stream, loaded, checkpoint)
     stored = spark.read.schema("endpoint string, page int, record string").parquet(loaded)

@@ -13,6 +13,7 @@ from tablekit.operators import query, schema, stats
 from tablekit.session import materialize, scratch_path, scratch_root
 from tablekit.sources import files, jdbc, records, rest
 from tablekit.streaming import ingest
+from tablekit.suite import scans
 from tests.conftest import rows
 
 
@@ -131,6 +132,47 @@ def test_rest_stream_goes_on_where_it_stopped(spark, tmp_path):
         rest.stream_rest(spark, "file:///", [{"name": "x", "path": "one.json"}])
 
 
+def test_pages_behind_cursors_are_read_by_many_tasks(tmp_path, monkeypatch):
+    endpoint = {"name": "c", "path": "{cursor}.json", "records": "data.items", "next": "meta.next", "cursor": "c0"}
+    options = {"base_url": f"file://{tmp_path}", "endpoints": json.dumps([endpoint])}
+
+    def read(stream, tasks):
+        return [(number, json.loads(record)["id"]) for task in tasks for _, number, record in stream.read(task)]
+
+    for most, expected in ((1000, 5), (3, 3)):
+        monkeypatch.setattr(rest, "STRETCHES", most)
+        serve(tmp_path, list(range(31)))
+        stream = rest.PagedStream(options)
+        start, middle = stream.initialOffset(), stream.latestOffset()
+        assert middle == {"c": {"at": "c10", "records": 1}}
+        assert read(stream, stream.partitions(start, middle)) == [(i // 3, i) for i in range(31)]
+        serve(tmp_path, list(range(145)))
+        end = stream.latestOffset()
+        tasks = stream.partitions(middle, end)
+        assert end == {"c": {"at": "c48", "records": 1}} and len(tasks) == (4 if most > 3 else 2)
+        assert read(stream, tasks) == [(i // 3 - 10, i) for i in range(31, 145)]
+        # A run that repeats the batch of another one has not walked the way.
+        fresh = rest.PagedStream(options)
+        tasks = fresh.partitions(start, end)
+        assert len(tasks) == expected and read(fresh, tasks) == [(i // 3, i) for i in range(145)]
+        assert read(fresh, fresh.partitions(start, middle)) == [(i // 3, i) for i in range(31)]
+        assert fresh.partitions(end, end) == []
+
+
+def test_only_pages_that_changed_are_served_again(spark, tmp_path):
+    orders = spark.range(5200).select(F.col("id").alias("o_orderkey"), F.lit("x").alias("o_comment"))
+    bodies = []
+    for folder, first in (("all", 0), ("some", 2)):
+        path = str(tmp_path / folder)
+        assert scans._serve(orders.where("o_orderkey <= 2500"), path) == 3
+        assert scans._serve(orders, path, first) == 6
+        bodies.append([json.loads((tmp_path / folder / f"{n}.json").read_text()) for n in range(6)])
+    for page in bodies[0] + bodies[1]:
+        page["items"].sort(key=lambda order: order["o_orderkey"])
+    assert bodies[0] == bodies[1] and [len(page["items"]) for page in bodies[0]] == [1000] * 5 + [200]
+    assert [page.get("next") for page in bodies[0]] == ["1", "2", "3", "4", "5", None]
+
+
 def test_rest_stream_asks_for_few_pages(monkeypatch):
     stream = rest.PagedStream({"base_url": "x", "endpoints": json.dumps([{"name": "n", "path": "{page}", "pages_per_task": 100}])})
     asked = []
