@@ -315,7 +315,8 @@ def dedup(
     buckets = max(1, -(-size // BUCKET_BYTES))
     shards = shards or max(1, -(-size // SHARD_BYTES))
     rows = _arranged(docs, id_col, text_col, buckets, keep)
-    sums = _sharded(rows.select("bucket", "id", "text").mapInArrow(_keys, _KEYS), shards)
+    # All columns are read here too: both passes then read one shuffle of the documents.
+    sums = _sharded(rows.mapInArrow(_keys, _KEYS), shards)
     learn = state is None
     if state is None:
         state = docs.sparkSession.createDataFrame([], _STATE)

@@ -208,6 +208,16 @@ def test_vector_recall_with_many_cells(spark, monkeypatch):
     assert (got <= want).all() and got.sum() >= 0.9 * want.sum()
 
 
+def test_lines_shuffles_documents_once(spark, docs, tmp_path):
+    """Columns that are kept do not make the second pass shuffle the documents again."""
+    docs.write.parquet(str(tmp_path / "docs"))
+    names = ("doc_id", "n_lines", "n_dropped", "kept_text")
+    kept = lines.dedup(spark.read.parquet(str(tmp_path / "docs")), keep=("lang", "source"))
+    rows = kept.collect()
+    assert "ReusedExchange" in kept._jdf.queryExecution().executedPlan().toString()
+    assert data.ordered(tuple(r[n] for n in names) for r in rows) == data.ordered(tuple(r) for r in lines.dedup(docs).collect())
+
+
 def test_passages_and_their_removal(spark):
     import random
 
