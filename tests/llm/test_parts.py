@@ -80,6 +80,53 @@ def test_alignment_finds_edited_and_ignores_short_runs():
     assert passages.align(one, np.concatenate([shared[:30], one[:2]]), [(35, 5)]) == []
 
 
+def test_texts_that_cannot_share_a_passage_are_not_aligned(monkeypatch):
+    """Words said 22 to 35 times share shingles on very many diagonals, but no 50 words."""
+    one, two = (np.repeat(np.arange(low, low + 6 * step, step), n) for low, step, n in ((1, 1, 22), (1, 2, 35)))
+    places = [(i, j) for i in range(0, 18, 3) for j in range(0, 30, 3)]
+    with monkeypatch.context() as patched:
+        patched.setattr(passages, "_runs", lambda *_: pytest.fail("aligned"))
+        assert passages.align(one[:40], two, places) == []
+        assert passages.align(two, one[:40], places) == []
+    assert passages.align(two, two, [(0, 0)]) == [(0, len(two) + 4, 0, len(two) + 4, 1.0)]
+
+
+def test_a_stretch_that_may_hold_a_passage():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        equal = rng.random(rng.integers(1, 120)) < rng.choice([0.6, 0.75, 0.85])
+        codes = np.where(equal, 7, 9).astype(np.uint64)
+        others = np.full(60, 7, np.uint64)
+        want = any(
+            5 * equal[i:j].sum() >= 4 * (j - i) for i in range(len(equal)) for j in range(i + 46, len(equal) + 1)
+        )
+        assert passages._may_hold(codes, others) == want
+
+
+def test_chains_against_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(100):
+        start = rng.integers(0, 120, 40)
+        end, shift = start + rng.integers(1, 25, 40), rng.integers(-9, 10, 40)
+        order = np.lexsort((shift, start, end))
+        start, end, shift = start[order], end[order], shift[order]
+        value, last, cut = (end - start) / 9, np.full(40, -1), np.zeros(40, int)
+        for k in range(40):
+            best = -np.inf
+            for j in range(k):
+                over = max(end[j] - start[k], end[j] + shift[j] - start[k] - shift[k], 0)
+                here = start[k] + over - end[j]
+                there = here + shift[k] - shift[j]
+                if over < end[k] - start[k] and max(here, there) <= passages.GAP:
+                    worth = value[j] + (end[k] - start[k] - over - 4 * (here + there)) / 9
+                    if worth > best:
+                        best, last[k], cut[k] = worth, j, over
+            if last[k] >= 0:
+                value[k] = best
+        got = passages._chains(start, end, shift)
+        assert got[0].tolist() == last.tolist() and got[1].tolist() == cut.tolist()
+
+
 def test_codec_agrees_with_tiktoken():
     path = public_tokenizers.path(bpe.VOCABULARY)
     own = bpe.Codec(path, public_tokenizers.PATTERN)
