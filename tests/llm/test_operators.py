@@ -319,6 +319,34 @@ def test_passages_whose_pieces_have_smaller_ids(spark):
     assert all(12 <= r.match_id < r.doc_id for r in found)
 
 
+def test_a_text_is_sent_to_a_cell_once(spark, monkeypatch):
+    """Forty texts that all meet are not sent once for each of their 780 pairs."""
+    monkeypatch.setattr(passages, "AT_ONCE", 8)
+    texts = spark.createDataFrame([(d, f"text {d}", d, 7) for d in range(40)], "doc long, text string, h long, size int")
+    pairs = spark.createDataFrame([(a, b) for b in range(40) for a in range(b)], "a long, b long")
+    rows = passages._cells(pairs, texts).collect()
+    cells = defaultdict(set)
+    for r in rows:
+        if not r.pair:
+            assert r.doc not in cells[r.cell] and r.text == f"text {r.doc}"
+            cells[r.cell].add(r.doc)
+    met = [(r.doc, r.b) for r in rows if r.pair]
+    assert sorted(met) == [(a, b) for a in range(40) for b in range(a + 1, 40)] and len(cells) == 9
+    assert all({r.doc, r.b} <= cells[r.cell] for r in rows if r.pair) and len(rows) - len(met) <= 40 * 6
+
+
+def test_stretches_that_passages_cover(spark):
+    import random
+
+    rnd = random.Random(15)
+    made = {(d, d % 2, rnd.randrange(400), rnd.randrange(1, 30)) for d in range(30) for _ in range(rnd.randrange(1, 40))}
+    found = spark.createDataFrame(list(made), "doc long, text_hash long, start int, n_words int")
+    for r in passages._spans(found).collect():
+        covered = {c for d, _, s, n in made if d == r.doc for c in range(s, s + n)}
+        assert sorted(c for s in r.spans for c in range(s.start, s.stop)) == sorted(covered) and r.h == r.doc % 2
+    assert passages._spans(found).count() == 30
+
+
 def test_classifiers_on_odd_tables(spark, docs, none):
     real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

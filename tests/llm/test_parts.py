@@ -127,6 +127,108 @@ def test_chains_against_brute_force():
         assert got[0].tolist() == last.tolist() and got[1].tolist() == cut.tolist()
 
 
+def said_again(rng, n):
+    """Shingles of a text whose words are said again and again, and of some words after each other."""
+    parts = [np.repeat(rng.integers(1, 12), rng.integers(1, 40)) for _ in range(n)]
+    parts.append(rng.permutation(np.arange(100, 220))[: rng.integers(1, 120)])
+    parts.append(np.arange(100, 220)[rng.integers(0, 60) :])
+    return np.concatenate([parts[k] for k in rng.permutation(len(parts))]).astype(np.uint64)
+
+
+def runs_that_hold(one, two, places):
+    """Runs of equal shingles, one after the other: see ``passages._runs``."""
+    runs, todo = set(), []
+
+    def add(i, j):
+        low = high = 0
+        while i + low > 0 and j + low > 0 and one[i + low - 1] == two[j + low - 1]:
+            low -= 1
+        while i + high < len(one) and j + high < len(two) and one[i + high] == two[j + high]:
+            high += 1
+        run = (j + low, j + high, i - j)
+        if high and run not in runs:
+            runs.add(run)
+            todo.append(run)
+
+    for i, j in places:
+        if one[i] == two[j]:
+            add(i, j)
+            for k in range(max(0, j - i), min(len(two), len(one) + j - i) - 9):
+                if (one[k + i - j : k + i - j + 10] == two[k : k + 10]).all():
+                    add(k + i - j, k)
+    while todo:
+        start, end, shift = todo.pop()
+        for x in range(13):
+            for y in range(13):
+                for i, j in ((end + shift + x, end + y), (start + shift - 1 - x, start - 1 - y)):
+                    if 0 <= i < len(one) and 0 <= j < len(two):
+                        add(i, j)
+    return sorted(runs, key=lambda r: (r[1], r[0], r[2]))
+
+
+def test_pairs_side_by_side_against_each_alone():
+    """Runs against brute force, and passages of many pairs at once against those of each pair."""
+    rng = np.random.default_rng(12)
+    ones, twos, places, found = [], [], [], 0
+    for k in range(40):
+        one, two = said_again(rng, 3), said_again(rng, 4)
+        equal = np.argwhere(one[:, None] == two[None])
+        ones.append(one)
+        twos.append(two)
+        places.append([tuple(p) for p in equal[rng.permutation(len(equal))[:5]].tolist()])
+    texts = passages._Texts([*ones, *twos])
+    texts.number(np.arange(80))
+    pairs = passages._Pairs(texts, np.arange(40), np.arange(40, 80))
+    at = tuple(np.array([(k, i, j) for k in range(40) for i, j in places[k]]).T)
+    pair, *runs = passages._runs(pairs, at)
+    own = passages._passages(pairs, at)
+    worth = texts.worth_aligning(np.arange(40), np.arange(40, 80))
+    for k in range(40):
+        assert [tuple(r) for r in np.stack(runs, axis=1)[pair == k].tolist()] == runs_that_hold(ones[k], twos[k], places[k])
+        alone = passages.align(ones[k], twos[k], places[k])
+        got = sorted(zip(*(x[own[0] == k].tolist() for x in own[1:])))
+        assert got == alone and (worth[k] or not alone)
+        found += len(alone)
+    assert found > 20
+
+
+def test_texts_of_repeated_words_are_aligned_in_few_steps():
+    """Words said 30 times share shingles on very many diagonals; these are not looked at one after the other."""
+    import cProfile
+    import pstats
+
+    rng = np.random.default_rng(13)
+    one, two = (np.concatenate([np.repeat(w, 26) for w in rng.permutation(40)]) for _ in range(2))
+    places = [(26 * i, 26 * j) for i in range(40) for j in range(40) if one[26 * i] == two[26 * j]]
+    calls = cProfile.Profile()
+    calls.runcall(passages.align, one, two, places)
+    assert pstats.Stats(calls).total_calls < 2000
+
+
+def test_cells_cut_anywhere_hold_the_same_passages(monkeypatch):
+    """Batches that end anywhere, and ids with two rows."""
+    rng = np.random.default_rng(14)
+    shared = [f"s{i}" for i in range(70)]
+    text = {d: " ".join([*(f"d{d}w{i}" for i in range(rng.integers(0, 9))), *shared]) for d in range(9)}
+    rows = []
+    for cell in range(3):
+        own = range(3 * cell, 3 * cell + 3)
+        rows += [(cell, False, d, None, d + 100, text[d]) for d in own]
+        rows.append((cell, False, 3 * cell + 1, None, 200, "no passage here"))
+        rows += [(cell, True, a, b, None, None) for a in own for b in own if a < b]
+    names = [part.split()[0] for part in passages._CELLS.split(", ")]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    want = {(3 * c + b, 3 * c + a) for c in range(3) for a in range(3) for b in range(a + 1, 3)}
+    for size in (1, 1 << 20):
+        monkeypatch.setattr(passages, "GATHERED", size)
+        for step in (1, 2, 3, 5, len(rows)):
+            batches = [whole.slice(at, step) for at in range(0, len(rows), step)]
+            found = [r for b in passages._verify(iter(batches)) for r in b.to_pylist()]
+            assert sorted((r["doc"], r["match"]) for r in found) == sorted(want)
+            assert all(r["n_words"] == 70 and r["text_hash"] == r["doc"] + 100 for r in found)
+
+
 def test_codec_agrees_with_tiktoken():
     path = public_tokenizers.path(bpe.VOCABULARY)
     own = bpe.Codec(path, public_tokenizers.PATTERN)
